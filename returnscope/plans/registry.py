@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import analysis, marts, quality, text
+from ..session import configure, ensure_checkpoint_dir
 from ..sources import driver
 from .layers import Warehouse
 
@@ -20,10 +21,12 @@ P = C.DRIVER_PARAMS
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    configure(spark)
     return Warehouse.from_driver(spark, sf_dir, P)
 
 
 def _comments(spark, sf_dir) -> DataFrame:
+    configure(spark)
     return text.comments_in_range(driver.comments_raw(spark, sf_dir), P.comment_range)
 
 
@@ -56,6 +59,9 @@ def _clusters(spark, sf_dir):
     comments = _comments(spark, sf_dir)
     n = comments.count()
     feats, vocab = text.tfidf_vectors(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
+    # K-Means iterates over the features: cut the lineage with a reliable
+    # checkpoint in the shared checkpoint folder
+    ensure_checkpoint_dir(spark)
     return comments, feats.checkpoint(), n
 
 
@@ -90,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conv_daily": lambda s, d: marts.conv_daily(_wh(s, d).events_labelled),
     "first_purchase": lambda s, d: marts.first_purchase(_wh(s, d).orders_labelled),
     "d7_purchase_retention": lambda s, d: marts.d7_purchase_retention(_wh(s, d).orders_labelled),
-    "date_spine": lambda s, d: marts.date_spine(_wh(s, d).orders_labelled, _wh(s, d).events_labelled),
+    "date_spine": lambda s, d: (lambda w: marts.date_spine(w.orders_labelled, w.events_labelled))(_wh(s, d)),
     "marts_kpi_daily": lambda s, d: (lambda w: marts.marts_kpi_daily(w.orders_labelled, w.events_labelled))(_wh(s, d)),
     "marts_kpi_daily_naive": lambda s, d: (lambda w: marts.marts_kpi_daily_naive(w.orders_labelled, w.events_labelled))(
         _wh(s, d)
