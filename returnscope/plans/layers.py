@@ -45,6 +45,20 @@ class Warehouse:
             params,
         )
 
+    @classmethod
+    def from_layers(cls, spark: SparkSession, root: str, params: C.Params = C.DRIVER_PARAMS) -> "Warehouse":
+        """A warehouse whose staging, dimension and fact layers are the parquet
+        tables written by ``write_layers`` (scans get exact file statistics,
+        so the tiny dimensions are broadcast by the planner's own size check)."""
+
+        def read(name):
+            return spark.read.parquet(os.path.join(root, name))
+
+        w = cls(None, None, None, read("stg/comments"), params)
+        for attr, name in LAYER_TABLES.items():
+            w.__dict__[attr] = read(name)
+        return w
+
     # staging
     @cached_property
     def users(self) -> DataFrame:
@@ -92,26 +106,50 @@ class Warehouse:
     def events_labelled(self) -> DataFrame:
         return facts.label_events(self.fact_events, self.dim_event_name)
 
-    def layers(self) -> dict[str, DataFrame]:
-        return {
-            "stg/stg_users_clean": self.users,
-            "stg/stg_orders_clean": self.orders,
-            "stg/stg_events_clean": self.events,
-            "dim/dim_user": self.dim_user,
-            "dim/dim_date": self.dim_date,
-            "dim/dim_order_status": self.dim_order_status,
-            "dim/dim_event_name": self.dim_event_name,
-            "fact/fact_orders": self.fact_orders,
-            "fact/fact_events": self.fact_events,
-            "marts/marts_kpi_daily": marts.marts_kpi_daily(self.orders_labelled, self.events_labelled),
-            "marts/marts_segments": marts.marts_segments(self.orders_labelled, self.dim_user),
-        }
-
-    def write_layers(self, root: str) -> dict[str, str]:
-        """Persist every layer under ``root`` (drop-and-create)."""
+    def layers(self, with_marts: bool = False) -> dict[str, DataFrame]:
+        out = {name: getattr(self, attr) for attr, name in LAYER_TABLES.items()}
+        if self.comments_raw is not None:
+            out["stg/comments"] = self.comments_raw
+        if with_marts:
+            out["marts/marts_kpi_daily"] = marts.marts_kpi_daily(self.orders_labelled, self.events_labelled)
+            out["marts/marts_segments"] = marts.marts_segments(self.orders_labelled, self.dim_user)
+        return out
+
+    def write_layers(self, root: str, with_marts: bool = False) -> dict[str, str]:
+        """Persist every layer under ``root`` (drop-and-create), in build order:
+        staging, dimensions, facts (and the marts when asked).  After each write
+        the warehouse reads the written table, so a layer is built from the
+        stored layers below it and the lineage is cut at every layer."""
         out = {}
-        for name, df in self.layers().items():
+        names = list(LAYER_TABLES.items())
+        if self.comments_raw is not None:
+            names.append(("comments_raw", "stg/comments"))
+        for attr, name in names:
+            df = getattr(self, attr)
             path = os.path.join(root, name)
             write_table(df, path)
             out[name] = path
+            self.__dict__[attr] = df.sparkSession.read.parquet(path)
+            for derived in ("orders_labelled", "events_labelled"):
+                self.__dict__.pop(derived, None)
+        if with_marts:
+            for name, df in self.layers(with_marts=True).items():
+                if name.startswith("marts/"):
+                    path = os.path.join(root, name)
+                    write_table(df, path)
+                    out[name] = path
         return out
+
+
+# Warehouse attribute -> table path under the layer root, in build order.
+LAYER_TABLES = {
+    "users": "stg/stg_users_clean",
+    "orders": "stg/stg_orders_clean",
+    "events": "stg/stg_events_clean",
+    "dim_user": "dim/dim_user",
+    "dim_date": "dim/dim_date",
+    "dim_order_status": "dim/dim_order_status",
+    "dim_event_name": "dim/dim_event_name",
+    "fact_orders": "fact/fact_orders",
+    "fact_events": "fact/fact_events",
+}

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config as C
 from ..operators import analysis, marts, quality, text
 from ..session import configure, ensure_checkpoint_dir
-from ..sources import driver
 from .layers import Warehouse
 
 P = C.DRIVER_PARAMS
@@ -25,9 +24,8 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse.from_driver(spark, sf_dir, P)
 
 
-def _comments(spark, sf_dir) -> DataFrame:
-    configure(spark)
-    return text.comments_in_range(driver.comments_raw(spark, sf_dir), P.comment_range)
+def _comments(w: Warehouse) -> DataFrame:
+    return text.comments_in_range(w.comments_raw, P.comment_range)
 
 
 def _segment_ab(w: Warehouse) -> DataFrame:
@@ -55,8 +53,9 @@ def _first_refunds(w: Warehouse) -> DataFrame:
     )
 
 
-def _clusters(spark, sf_dir):
-    comments = _comments(spark, sf_dir)
+def _clusters(w: Warehouse):
+    comments = _comments(w)
+    spark = comments.sparkSession
     n = comments.count()
     feats, vocab = text.tfidf_vectors(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
     # K-Means iterates over the features: cut the lineage with a reliable
@@ -65,92 +64,99 @@ def _clusters(spark, sf_dir):
     return comments, feats.checkpoint(), n
 
 
-def _assigned(spark, sf_dir):
-    comments, feats, n = _clusters(spark, sf_dir)
+def _assigned(w: Warehouse):
+    comments, feats, n = _clusters(w)
     return comments, text.kmeans_assign(feats, C.KMEANS_K, C.KMEANS_SEED), n
 
 
-def _top_terms(spark, sf_dir):
-    comments, assigned, n = _assigned(spark, sf_dir)
+def _top_terms(w: Warehouse):
+    comments, assigned, n = _assigned(w)
     weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
     return text.cluster_top_terms(weights, assigned, C.TOP_TERMS)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _wl(f):
+    """Adapt a warehouse runner to the (spark, sf_dir) query signature."""
+    return lambda spark, sf_dir: f(_wh(spark, sf_dir))
+
+
+def _key_violations(w: Warehouse) -> DataFrame:
+    return quality.key_violations(
+        {
+            "users_raw": (w.users_raw, "user_id"),
+            "orders_raw": (w.orders_raw, "order_id"),
+            "events_raw": (w.events_raw, "event_id"),
+        }
+    )
+
+
+# name -> runner over a Warehouse (raw-backed or layer-backed)
+RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     # staging, dimensions, facts (rows 1-10)
-    "stg_users_clean": lambda s, d: _wh(s, d).users,
-    "stg_orders_clean": lambda s, d: _wh(s, d).orders,
-    "stg_events_clean": lambda s, d: _wh(s, d).events,
-    "dim_user": lambda s, d: _wh(s, d).dim_user,
-    "dim_date": lambda s, d: _wh(s, d).dim_date,
-    "dim_order_status": lambda s, d: _wh(s, d).dim_order_status,
-    "dim_event_name": lambda s, d: _wh(s, d).dim_event_name,
-    "fact_orders": lambda s, d: _wh(s, d).fact_orders,
-    "fact_events": lambda s, d: _wh(s, d).fact_events,
-    "label_orders": lambda s, d: _wh(s, d).orders_labelled,
-    "label_events": lambda s, d: _wh(s, d).events_labelled,
+    "stg_users_clean": lambda w: w.users,
+    "stg_orders_clean": lambda w: w.orders,
+    "stg_events_clean": lambda w: w.events,
+    "dim_user": lambda w: w.dim_user,
+    "dim_date": lambda w: w.dim_date,
+    "dim_order_status": lambda w: w.dim_order_status,
+    "dim_event_name": lambda w: w.dim_event_name,
+    "fact_orders": lambda w: w.fact_orders,
+    "fact_events": lambda w: w.fact_events,
+    "label_orders": lambda w: w.orders_labelled,
+    "label_events": lambda w: w.events_labelled,
     # marts (rows 11-19)
-    "daily_orders_refunds": lambda s, d: marts.daily_orders_refunds(_wh(s, d).orders_labelled),
-    "step_daily": lambda s, d: marts.step_daily(_wh(s, d).events_labelled),
-    "funnel_daily": lambda s, d: marts.funnel_daily(_wh(s, d).events_labelled),
-    "conv_daily": lambda s, d: marts.conv_daily(_wh(s, d).events_labelled),
-    "first_purchase": lambda s, d: marts.first_purchase(_wh(s, d).orders_labelled),
-    "d7_purchase_retention": lambda s, d: marts.d7_purchase_retention(_wh(s, d).orders_labelled),
-    "date_spine": lambda s, d: (lambda w: marts.date_spine(w.orders_labelled, w.events_labelled))(_wh(s, d)),
-    "marts_kpi_daily": lambda s, d: (lambda w: marts.marts_kpi_daily(w.orders_labelled, w.events_labelled))(_wh(s, d)),
-    "marts_kpi_daily_naive": lambda s, d: (lambda w: marts.marts_kpi_daily_naive(w.orders_labelled, w.events_labelled))(
-        _wh(s, d)
-    ),
-    "marts_segments": lambda s, d: (lambda w: marts.marts_segments(w.orders_labelled, w.dim_user))(_wh(s, d)),
+    "daily_orders_refunds": lambda w: marts.daily_orders_refunds(w.orders_labelled),
+    "step_daily": lambda w: marts.step_daily(w.events_labelled),
+    "funnel_daily": lambda w: marts.funnel_daily(w.events_labelled),
+    "conv_daily": lambda w: marts.conv_daily(w.events_labelled),
+    "first_purchase": lambda w: marts.first_purchase(w.orders_labelled),
+    "d7_purchase_retention": lambda w: marts.d7_purchase_retention(w.orders_labelled),
+    "date_spine": lambda w: marts.date_spine(w.orders_labelled, w.events_labelled),
+    "marts_kpi_daily": lambda w: marts.marts_kpi_daily(w.orders_labelled, w.events_labelled),
+    "marts_kpi_daily_naive": lambda w: marts.marts_kpi_daily_naive(w.orders_labelled, w.events_labelled),
+    "marts_segments": lambda w: marts.marts_segments(w.orders_labelled, w.dim_user),
     # analyses (rows 20-27)
-    "rr_before_after": lambda s, d: analysis.rr_before_after(_wh(s, d).orders_labelled, P.release, P.rr_range),
-    "rr_segment_ab": lambda s, d: _segment_ab(_wh(s, d)),
-    "checkout_funnel_before_after": lambda s, d: (
-        lambda w: analysis.checkout_funnel_before_after(w.events_labelled, w.dim_user, P.release)
-    )(_wh(s, d)),
-    "d7_retention_cohorts": lambda s, d: (
-        lambda w: analysis.d7_retention_cohorts(w.users, w.events_labelled, P.d7_cohorts, P.d7_window_days)
-    )(_wh(s, d)),
-    "first_refunds": lambda s, d: _first_refunds(_wh(s, d)),
-    "quick_refund_share": lambda s, d: (
-        lambda w: analysis.quick_refund_share(
-            w.orders_labelled, w.events_labelled, P.release, P.quick_refund_window_days, P.quick_refund_hours
-        )
-    )(_wh(s, d)),
-    "rr_by_registration_cohort": lambda s, d: (
-        lambda w: analysis.rr_by_registration_cohort(
-            w.users, w.events_labelled, P.rr_cohort_pre, P.rr_cohort_post, P.rr_cohort_window_days
-        )
-    )(_wh(s, d)),
-    "cart_dropoff": lambda s, d: (lambda w: analysis.cart_dropoff(w.events_labelled, w.dim_user, P.release))(_wh(s, d)),
-    "rr_ztest": lambda s, d: analysis.rr_ztest(_segment_ab(_wh(s, d))),
-    # text (rows 28-35)
-    "load_comments": lambda s, d: _comments(s, d),
-    "clean_text": lambda s, d: text.clean_text(_comments(s, d)),
-    "tfidf": lambda s, d: text.tfidf(_comments(s, d), C.TFIDF_MAX_FEATURES),
-    "kmeans_elbow": lambda s, d: text.kmeans_elbow(_clusters(s, d)[1], C.KMEANS_K_RANGE, C.KMEANS_SEED),
-    "kmeans_assign": lambda s, d: _assigned(s, d)[1].select("comment_id", "cluster"),
-    "silhouette": lambda s, d: text.silhouette(_assigned(s, d)[1]),
-    "cluster_top_terms": _top_terms,
-    "cluster_examples": lambda s, d: text.cluster_examples(_assigned(s, d)[1], C.EXAMPLES_PER_CLUSTER),
-    # checks and dashboard tiles (rows 36-40)
-    "key_violations": lambda s, d: quality.key_violations(
-        {
-            "users_raw": (driver.users_raw(s, d), "user_id"),
-            "orders_raw": (driver.orders_raw(s, d), "order_id"),
-            "events_raw": (driver.events_raw(s, d), "event_id"),
-        }
+    "rr_before_after": lambda w: analysis.rr_before_after(w.orders_labelled, P.release, P.rr_range),
+    "rr_segment_ab": _segment_ab,
+    "checkout_funnel_before_after": lambda w: analysis.checkout_funnel_before_after(
+        w.events_labelled, w.dim_user, P.release
+    ),
+    "d7_retention_cohorts": lambda w: analysis.d7_retention_cohorts(
+        w.users, w.events_labelled, P.d7_cohorts, P.d7_window_days
+    ),
+    "first_refunds": _first_refunds,
+    "quick_refund_share": lambda w: analysis.quick_refund_share(
+        w.orders_labelled, w.events_labelled, P.release, P.quick_refund_window_days, P.quick_refund_hours
     ),
-    "kpi_totals": lambda s, d: (lambda w: quality.kpi_totals(w.orders_labelled, w.events_labelled, P.kpi_range))(_wh(s, d)),
-    "rr_by_device": lambda s, d: (lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "device", P.release))(_wh(s, d)),
-    "rr_by_region": lambda s, d: (lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "region", P.release))(_wh(s, d)),
-    "rr_by_channel": lambda s, d: (lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "channel", P.release))(
-        _wh(s, d)
+    "rr_by_registration_cohort": lambda w: analysis.rr_by_registration_cohort(
+        w.users, w.events_labelled, P.rr_cohort_pre, P.rr_cohort_post, P.rr_cohort_window_days
     ),
-    "funnel_by_month": lambda s, d: analysis.funnel_by_month(_wh(s, d).events_labelled),
-    "top_rr_growth": lambda s, d: analysis.top_rr_growth(_segment_ab(_wh(s, d)), P.top_n),
+    "cart_dropoff": lambda w: analysis.cart_dropoff(w.events_labelled, w.dim_user, P.release),
+    "rr_ztest": lambda w: analysis.rr_ztest(_segment_ab(w)),
+    # text (rows 28-35)
+    "load_comments": lambda w: _comments(w),
+    "clean_text": lambda w: text.clean_text(_comments(w)),
+    "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES),
+    "kmeans_elbow": lambda w: text.kmeans_elbow(_clusters(w)[1], C.KMEANS_K_RANGE, C.KMEANS_SEED),
+    "kmeans_assign": lambda w: _assigned(w)[1].select("comment_id", "cluster"),
+    "silhouette": lambda w: text.silhouette(_assigned(w)[1]),
+    "cluster_top_terms": lambda w: _top_terms(w),
+    "cluster_examples": lambda w: text.cluster_examples(_assigned(w)[1], C.EXAMPLES_PER_CLUSTER),
+    # checks and dashboard tiles (rows 36-40)
+    "key_violations": _key_violations,
+    "kpi_totals": lambda w: quality.kpi_totals(w.orders_labelled, w.events_labelled, P.kpi_range),
+    "rr_by_device": lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "device", P.release),
+    "rr_by_region": lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "region", P.release),
+    "rr_by_channel": lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "channel", P.release),
+    "funnel_by_month": lambda w: analysis.funnel_by_month(w.events_labelled),
+    "top_rr_growth": lambda w: analysis.top_rr_growth(_segment_ab(w), P.top_n),
 }
 
+# Queries that need the raw tables (not available on a layer-backed warehouse).
+RAW_ONLY = ("key_violations",)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _wl(f) for name, f in RUNNERS.items()}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
