@@ -63,12 +63,23 @@ def normalise(text) -> Column:
     return F.regexp_replace(F.lower(col_(text)), "[^a-zA-Z]", " ")
 
 
-def tokens(text, stopwords: tuple[str, ...] | None = None) -> Column:
-    """Whitespace tokens of the normalised text without stopwords (an array;
-    the IN list is compiled to a hash-set lookup)."""
+def raw_tokens(text) -> Column:
+    """Whitespace tokens of the normalised text (an array; may hold one empty
+    string for a text without letters)."""
+    return F.split(F.trim(normalise(text)), " +")
+
+
+def kept(word, stopwords: tuple[str, ...] | None = None) -> Column:
+    """True for a non-empty token that is not a stopword (row-level IN over
+    literals, which the optimizer turns into a hash-set lookup)."""
     stop = stopwords if stopwords is not None else english_stopwords()
-    parts = F.split(F.trim(normalise(text)), " +")
-    return F.filter(parts, lambda w: (w != F.lit("")) & ~w.isin(*stop))
+    w = col_(word)
+    return (w != F.lit("")) & ~w.isin(*stop)
+
+
+def tokens(text, stopwords: tuple[str, ...] | None = None) -> Column:
+    """Array form: whitespace tokens of the normalised text without stopwords."""
+    return F.filter(raw_tokens(text), lambda w: kept(w, stopwords))
 
 
 def noun_candidates(word) -> Column:

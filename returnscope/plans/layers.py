@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config as C
 from ..operators import dims, facts, marts, staging
 from ..sources import driver
-from ..sources.files import write_table
+from ..sources.files import spread, write_table
 
 
 class Warehouse:
@@ -127,7 +127,7 @@ class Warehouse:
         for attr, name in names:
             df = getattr(self, attr)
             path = os.path.join(root, name)
-            write_table(df, path)
+            write_table(spread(df), path)
             out[name] = path
             self.__dict__[attr] = df.sparkSession.read.parquet(path)
             for derived in ("orders_labelled", "events_labelled"):
