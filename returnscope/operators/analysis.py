@@ -79,18 +79,22 @@ def _segment_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
 def ab_rows(
     labelled_orders: DataFrame, users: DataFrame, release: dt.date = C.RELEASE_DATE, days: int = C.AB_WINDOW_DAYS
 ) -> DataFrame:
-    """Orders of known users within release +- days (by calendar day,
-    inclusive), with period, segment and 0/1 order / refund flags."""
+    """Per (user, period) of orders of known users within release +- days (by
+    calendar day, inclusive): the number of order rows, paid orders and
+    refund orders, with the user's segment.
+
+    Orders are summed per (user, period) before the user join: the segment is
+    a function of the user, so the sums per segment are unchanged, and the
+    join meets at most two rows per user however many orders a user has."""
     d = F.to_date("order_date")
     o = labelled_orders.where(
         (d >= date_lit(release - dt.timedelta(days=days))) & (d <= date_lit(release + dt.timedelta(days=days)))
-    ).select(
-        "user_id",
-        period(d, release).alias("period"),
-        flag(F.col("status_group") == "paid").alias("is_order"),
-        flag(F.col("status_group") == "refund").alias("is_refund"),
     )
-    return o.join(users.select("user_id", *SEGMENT), "user_id", "inner")
+    per_user = o.groupBy("user_id", period(d, release).alias("period")).agg(
+        F.sum(flag(F.col("status_group") == "paid")).alias("is_order"),
+        F.sum(flag(F.col("status_group") == "refund")).alias("is_refund"),
+    )
+    return per_user.join(users.select("user_id", *SEGMENT), "user_id", "inner")
 
 
 def _rates(df: DataFrame) -> list[Column]:
@@ -153,15 +157,22 @@ def rr_ztest(segment_ab: DataFrame, z_crit: float = C.Z_95) -> DataFrame:
 
 
 def _user_period_steps(labelled_events: DataFrame, users: DataFrame, release: dt.date, steps) -> DataFrame:
+    """Step flags per (user, segment, period).  Flags are taken per (user,
+    period) before the user join (the segment is a function of the user), so
+    the join sees at most two rows per user."""
     cart, checkout, payment, refund = steps
     ev = F.col("ev")
-    e = labelled_events.where(ev.isin(*steps)).join(users.select("user_id", *SEGMENT), "user_id", "inner")
-    return e.groupBy("user_id", *SEGMENT, period("event_date", release).alias("period")).agg(
-        F.max(flag(ev == cart)).alias("s1_cart"),
-        F.max(flag(ev == checkout)).alias("s2_checkout"),
-        F.max(flag(ev == payment)).alias("s3_payment"),
-        F.max(flag(ev == refund)).alias("s4_refund"),
+    flags = (
+        labelled_events.where(ev.isin(*steps))
+        .groupBy("user_id", period("event_date", release).alias("period"))
+        .agg(
+            F.max(flag(ev == cart)).alias("s1_cart"),
+            F.max(flag(ev == checkout)).alias("s2_checkout"),
+            F.max(flag(ev == payment)).alias("s3_payment"),
+            F.max(flag(ev == refund)).alias("s4_refund"),
+        )
     )
+    return flags.join(users.select("user_id", *SEGMENT), "user_id", "inner")
 
 
 FUNNEL_METRICS = (
@@ -395,11 +406,20 @@ def cart_dropoff(
     Segments with no drop-off, and NULL segment keys, do not appear (inner
     equality join of the two counts)."""
     keys = ["period", *SEGMENT]
-    e = labelled_events.join(users.select("user_id", *SEGMENT), "user_id", "inner").withColumn(
-        "period", period("event_date", release)
-    )
-    cart = e.where(F.col("ev") == cart_step).select("user_id", *keys).distinct()
-    buyers = e.where(F.col("ev") == pay_step).select("user_id", *keys).distinct()
+    # distinct (user, period) per step before the user join: the join meets at
+    # most two rows per user and step, however many events a user has
+    seg = users.select("user_id", *SEGMENT)
+
+    def step_users(step):
+        per_user = (
+            labelled_events.where(F.col("ev") == step)
+            .select("user_id", period("event_date", release).alias("period"))
+            .distinct()
+        )
+        return per_user.join(seg, "user_id", "inner").select("user_id", *keys).distinct()
+
+    cart = step_users(cart_step)
+    buyers = step_users(pay_step)
     added = cart.groupBy(*keys).agg(F.count_distinct("user_id").alias("users_added_to_cart"))
     dropped = (
         cart.join(buyers, ["user_id", *keys], "left_anti")
