@@ -50,6 +50,8 @@ TFIDF_MAX_FEATURES = 5000
 KMEANS_K = 3
 KMEANS_SEED = 42
 KMEANS_K_RANGE = tuple(range(2, 9))
+KMEANS_MAX_ITER = 300
+KMEANS_TOL = 1e-4
 TOP_TERMS = 10
 EXAMPLES_PER_CLUSTER = 3
 # Normal quantile of the 95% Wald interval.

@@ -127,7 +127,9 @@ class Warehouse:
         for attr, name in names:
             df = getattr(self, attr)
             path = os.path.join(root, name)
-            write_table(spread(df), path)
+            # the comments layer is a plain scan (no shuffle): spread a single
+            # split over the cluster before the per-token work downstream
+            write_table(spread(df) if attr == "comments_raw" else df, path)
             out[name] = path
             self.__dict__[attr] = df.sparkSession.read.parquet(path)
             for derived in ("orders_labelled", "events_labelled"):
