@@ -57,3 +57,13 @@ def test_queries_without_oracle_run(spark):
     names = sorted(set(queries()) - set(oracle_sql()))
     assert names == ["cluster_examples", "cluster_top_terms", "kmeans_assign", "kmeans_elbow", "silhouette"]
     assert queries()["kmeans_assign"](spark, SF).count() > 0
+
+
+def test_fixture_figures(spark):
+    """Figures measured independently with DuckDB (FIXTURES.md section 2)."""
+    from pyspark.sql import functions as F
+
+    r = queries()["rr_by_registration_cohort"](spark, SF).collect()[0]
+    assert (r.pre_users, r.post_users) == (90, 60)
+    dropoff = queries()["cart_dropoff"](spark, SF).agg(F.sum("users_dropoff")).collect()[0][0]
+    assert dropoff == 18
