@@ -23,6 +23,13 @@ def date_lit(d: dt.date) -> Column:
     return F.lit(d).cast("date")
 
 
+def day_range(ts_col, lo: dt.date, hi: dt.date) -> Column:
+    """Calendar day of a timestamp within [lo, hi] (inclusive), written as a
+    half-open timestamp range so the predicate reaches the parquet scan."""
+    c = col_(ts_col)
+    return (c >= ts_lit(lo)) & (c < ts_lit(hi + dt.timedelta(days=1)))
+
+
 def canonical_device(c) -> Column:
     c = col_(c)
     low = F.lower(c)

@@ -10,12 +10,13 @@ no rows gives NULL, a period with rows but no paid orders gives 0.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.labels import channel_group, date_lit, flag, period, ts_lit
+from ..functions.labels import channel_group, date_lit, day_range, flag, period, ts_lit
 from ..functions.stats import dbl, pct, two_proportion_ztest
 from .asof import asof_forward_min
 
@@ -88,7 +89,7 @@ def ab_rows(
     join meets at most two rows per user however many orders a user has."""
     d = F.to_date("order_date")
     o = labelled_orders.where(
-        (d >= date_lit(release - dt.timedelta(days=days))) & (d <= date_lit(release + dt.timedelta(days=days)))
+        day_range("order_date", release - dt.timedelta(days=days), release + dt.timedelta(days=days))
     )
     per_user = o.groupBy("user_id", period(d, release).alias("period")).agg(
         F.sum(flag(F.col("status_group") == "paid")).alias("is_order"),
@@ -215,9 +216,11 @@ def funnel_by_month(labelled_events: DataFrame, months: list[dt.date] | None = N
     comparison), on distinct users with each step in the month."""
     cart, checkout, payment, refund = steps
     ev = F.col("ev")
-    e = labelled_events.where(ev.isin(*steps)).withColumn("month", F.trunc(F.to_date("event_date"), "month"))
+    e = labelled_events.where(ev.isin(*steps))
     if months:
-        e = e.where(F.col("month").isin(*[date_lit(m.replace(day=1)) for m in months]))
+        starts = sorted({m.replace(day=1) for m in months})
+        e = e.where(reduce(lambda a, b: a | b, [day_range("event_date", m, _month_end(m)) for m in starts]))
+    e = e.withColumn("month", F.trunc(F.to_date("event_date"), "month"))
     u = e.groupBy("user_id", "month").agg(
         F.max(flag(ev == cart)).alias("s1_cart"),
         F.max(flag(ev == checkout)).alias("s2_checkout"),
@@ -229,6 +232,11 @@ def funnel_by_month(labelled_events: DataFrame, months: list[dt.date] | None = N
     )
 
 
+def _month_end(m: dt.date) -> dt.date:
+    nxt = m.replace(year=m.year + 1, month=1) if m.month == 12 else m.replace(month=m.month + 1)
+    return nxt - dt.timedelta(days=1)
+
+
 def _cohort_frame(spark, cohorts) -> DataFrame:
     rows = [(name, start, end) for name, start, end in cohorts]
     return spark.createDataFrame(rows, "cohort string, start_date date, end_date date")

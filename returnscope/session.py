@@ -30,6 +30,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Session settings sized for ``input_bytes`` of parquet input.
+
+    Shuffle partitions start at input / ``partition_bytes`` (AQE coalesces the
+    small ones and splits skewed ones at run time), so a reduce task handles
+    about one scan split and fits executor memory; joins broadcast only sides
+    that AQE measured below 64 MB.
+    """
+    n = max(8, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def configure_for_scale(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """``configure`` plus ``scale_conf`` (all runtime-settable SQL settings)."""
+    configure(spark)
+    for key, value in scale_conf(input_bytes).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "returnscope") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no ports beyond Spark's own)."""
     builder = (
