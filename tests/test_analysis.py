@@ -209,6 +209,7 @@ def test_asof_window_equals_join_form_with_hot_key(spark):
         user = 0 if i % 3 == 0 else rnd.randint(1, 25)
         build.append((user, base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 5))))
     probe.append(("null_ts", 1, None))
+    probe.append(("null_user", None, base + dt.timedelta(hours=1)))
     p = spark.createDataFrame(probe, "order_id string, user_id int, order_date timestamp_ntz")
     b = spark.createDataFrame(build, "user_id int, refund_ts timestamp_ntz")
     fast = asof_forward_min(p, b, "user_id", "order_date", "refund_ts", "refund_ts")
