@@ -20,21 +20,36 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
-def dense_ids(values: DataFrame, order_col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
+# Distinct values numbered by one ordered window when there are at most this many.
+LOCAL_IDS_MAX_ROWS = 10_000
+
+
+def dense_ids(
+    values: DataFrame,
+    order_col: str,
+    id_col: str,
+    num_partitions: int | None = None,
+    local_max_rows: int = LOCAL_IDS_MAX_ROWS,
+) -> DataFrame:
     """Attach ids 1..n to the distinct values of ``order_col``, in value order
-    (NULL last).
+    (NULL last): ROW_NUMBER() OVER (ORDER BY value) over the distinct values.
 
-    Distributed form of ROW_NUMBER() OVER (ORDER BY value): range-partition the
+    At most ``local_max_rows`` distinct values (checked by counting at most
+    that many + 1) are numbered by one ordered window, a bounded single
+    partition.  Above the bound the work is distributed: range-partition the
     distinct values, number rows inside each partition, and add the running
-    count of the earlier partitions.  Only the per-partition counts (one row per
-    partition, a bound fixed by ``num_partitions``) are combined globally.
+    count of the earlier partitions; only the per-partition counts (one row
+    per partition) are combined globally.
     """
     spark = values.sparkSession
+    distinct = values.select(order_col).distinct().cache()
+    order = F.col(order_col).asc_nulls_last()
+    if distinct.limit(local_max_rows + 1).count() <= local_max_rows:
+        return distinct.select(F.row_number().over(Window.orderBy(order)).cast("int").alias(id_col), order_col)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = values.select(order_col).distinct()
     ranged = (
-        distinct.repartitionByRange(n, F.col(order_col).asc_nulls_last())
-        .sortWithinPartitions(F.col(order_col).asc_nulls_last())
+        distinct.repartitionByRange(n, order)
+        .sortWithinPartitions(order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
