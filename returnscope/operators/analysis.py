@@ -248,10 +248,13 @@ def d7_retention_cohorts(
     cohorts=C.D7_COHORTS,
     days: int = C.D7_WINDOW_DAYS,
     steps=C.FUNNEL_STEPS,
+    mode: str = "within",
 ) -> DataFrame:
     """Row 23: per registration cohort, new users, users with any funnel event
     in [reg_date, reg_date + days), retention %; and the relative change of the
-    first cohort against the second.
+    first cohort against the second.  ``mode="exact_day"`` counts only events
+    on the day reg_date + days (the wording of the original's description;
+    its code, the default, counts the whole window).
 
     Events are first reduced to distinct (user, day), which bounds a hot user
     to one row per day; the cohort relation is a parameter list (broadcast)."""
@@ -269,8 +272,11 @@ def d7_retention_cohorts(
     hit = cu.join(
         days_active,
         (cu.user_id == days_active.user_id)
-        & (days_active.event_day >= cu.reg_date)
-        & (days_active.event_day < F.date_add(cu.reg_date, days)),
+        & (
+            (days_active.event_day == F.date_add(cu.reg_date, days))
+            if mode == "exact_day"
+            else (days_active.event_day >= cu.reg_date) & (days_active.event_day < F.date_add(cu.reg_date, days))
+        ),
         "left",
     ).select(cu.cohort, cu.user_id, days_active.event_day.isNotNull().alias("hit"))
     per_user = hit.groupBy("cohort", "user_id").agg(F.max(flag(F.col("hit"))).alias("retained"))
@@ -408,11 +414,12 @@ def cart_dropoff(
     release: dt.date = C.RELEASE_DATE,
     cart_step: str = "add_to_cart",
     pay_step: str = "payment_success",
+    keep_zero: bool = False,
 ) -> DataFrame:
     """Row 26: per period x segment, users who added to cart, those without a
     payment in the same period and segment (anti join), and the rate %.
     Segments with no drop-off, and NULL segment keys, do not appear (inner
-    equality join of the two counts)."""
+    equality join of the two counts) unless ``keep_zero``."""
     keys = ["period", *SEGMENT]
     # distinct (user, period) per step before the user join: the join meets at
     # most two rows per user and step, however many events a user has
@@ -434,5 +441,17 @@ def cart_dropoff(
         .groupBy(*keys)
         .agg(F.count_distinct("user_id").alias("users_dropoff"))
     )
-    j = added.join(dropped, keys, "inner")
-    return j.select(*keys, "users_dropoff", "users_added_to_cart", pct("users_dropoff", "users_added_to_cart").alias("dropoff_rate_from_cart"))
+    if keep_zero:
+        # every segment with cart users, NULL keys included, 0 where none dropped
+        cond = [added[k].eqNullSafe(dropped[k]) for k in keys]
+        j = added.join(dropped, cond, "left").select(
+            *[added[k] for k in keys], F.coalesce(dropped.users_dropoff, F.lit(0)).alias("users_dropoff"), "users_added_to_cart"
+        )
+    else:
+        j = added.join(dropped, keys, "inner")
+    return j.select(
+        *keys,
+        "users_dropoff",
+        "users_added_to_cart",
+        pct("users_dropoff", "users_added_to_cart").alias("dropoff_rate_from_cart"),
+    )

@@ -148,6 +148,8 @@ def test_d7_cohorts_window_and_zero_base(spark):
         "pre_d7_retention": 0.0,
         "delta_d7_retention": None,  # division by a zero base
     }
+    exact = analysis.d7_retention_cohorts(w.users, w.events_labelled, mode="exact_day").collect()[0]
+    assert (exact.post_new_users_count, exact.post_retained_users_count) == (3, 1)  # only the day-7 event
 
 
 def test_rr_registration_cohort(spark):
@@ -238,6 +240,14 @@ def test_cart_dropoff(spark):
     w = warehouse(spark, users=users, events=events)
     got = rows(analysis.cart_dropoff(w.events_labelled, w.dim_user))
     assert got == [("before", "iOS", "EU", "Paid", 1, 2, 50.0)]
+    kept = rows(analysis.cart_dropoff(w.events_labelled, w.dim_user, keep_zero=True))
+    assert kept == [
+        ("after", "Android", "US", "seo", 0, 1, 0.0),
+        ("after", None, "US", "seo", 1, 1, 100.0),
+        ("before", "iOS", "EU", "Paid", 1, 2, 50.0),
+    ]
+    for r in analysis.cart_dropoff(w.events_labelled, w.dim_user, keep_zero=True).collect():
+        assert r.users_dropoff <= r.users_added_to_cart
 
 
 def test_kpi_totals_and_funnel_by_month(spark):
