@@ -56,11 +56,13 @@ def _first_refunds(w: Warehouse) -> DataFrame:
 def _clusters(w: Warehouse):
     comments = _comments(w)
     spark = comments.sparkSession
+    # K-Means iterates over the features, and the reports join them back to
+    # the comments: pin the per-row document keys and cut the lineage with
+    # reliable checkpoints in the shared checkpoint folder
+    ensure_checkpoint_dir(spark)
+    comments = text.with_doc_key(comments).checkpoint()
     n = comments.count()
     feats, vocab = text.tfidf_vectors(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
-    # K-Means iterates over the features: cut the lineage with a reliable
-    # checkpoint in the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
     return comments, feats.checkpoint(), n
 
 
@@ -71,7 +73,7 @@ def _assigned(w: Warehouse):
 
 def _top_terms(w: Warehouse):
     comments, assigned, n = _assigned(w)
-    weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
+    weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, n_docs=n, keep_doc_key=True)
     return text.cluster_top_terms(weights, assigned, C.TOP_TERMS)
 
 
