@@ -275,3 +275,14 @@ def test_kpi_totals_and_funnel_by_month(spark):
     }
     m = rows(analysis.funnel_by_month(w.events_labelled))
     assert m == [(D("2025-05-01"), 100.0, 0.0, None), (D("2025-06-01"), 0.0, None, 0.0)]
+
+
+def test_asof_single_hot_instant_is_split(spark):
+    t = dt.datetime(2025, 6, 16, 12)
+    probe = [(f"o{i}", 1, t) for i in range(200)] + [("early", 1, t - dt.timedelta(hours=1))]
+    build = [(1, t)] * 100 + [(1, t + dt.timedelta(hours=2))]
+    p = spark.createDataFrame(probe, "order_id string, user_id int, order_date timestamp_ntz")
+    b = spark.createDataFrame(build, "user_id int, refund_ts timestamp_ntz")
+    got = asof_forward_min(p, b, "user_id", "order_date", "refund_ts", "refund_ts", num_partitions=4)
+    assert {r.refund_ts for r in got.collect()} == {t}
+    assert got.count() == 201
