@@ -10,6 +10,7 @@ unlike local checkpoints); ``write_layers`` persists every layer as parquet
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,24 +122,30 @@ class Warehouse:
             out["marts/marts_segments"] = marts.marts_segments(self.orders_labelled, self.dim_user)
         return out
 
-    def write_layers(self, root: str, with_marts: bool = False, cluster_facts: bool = True) -> dict[str, str]:
-        """Persist every layer under ``root`` (drop-and-create), in build order:
+    def write_layers(
+        self, root: str, with_marts: bool = False, cluster_facts: bool = True, parallel: bool = True
+    ) -> dict[str, str]:
+        """Persist every layer under ``root`` (drop-and-create), level by level:
         staging, dimensions, facts (and the marts when asked).  After each write
         the warehouse reads the written table, so a layer is built from the
-        stored layers below it and the lineage is cut at every layer.
+        stored layers below it and the lineage is cut at every layer.  The
+        tables of one level do not depend on each other and are written as
+        concurrent Spark jobs (``parallel``).
 
         With ``cluster_facts`` the fact tables are range-partitioned on their
         timestamp (ties split by a second column) and sorted inside each file,
         so the date-window analyses skip files and row groups through parquet
         min / max statistics on their pushed timestamp filters."""
-        out = {}
-        names = list(LAYER_TABLES.items())
+        spark = self._spark()
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        levels = [list(level) for level in LAYER_LEVELS]
         if self.comments_raw is not None:
-            names.append(("comments_raw", "stg/comments"))
-        parts = int(self._spark().conf.get("spark.sql.shuffle.partitions"))
-        for attr, name in names:
+            levels[0].append("comments_raw")
+        names = dict(LAYER_TABLES, comments_raw="stg/comments")
+        out = {}
+
+        def write(attr: str) -> tuple[str, str]:
             df = getattr(self, attr)
-            path = os.path.join(root, name)
             if attr == "comments_raw":
                 # a plain scan (no shuffle): spread a single split over the
                 # cluster before the per-token work downstream
@@ -146,9 +153,21 @@ class Warehouse:
             elif cluster_facts and attr in FACT_CLUSTERING:
                 keys = FACT_CLUSTERING[attr]
                 df = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+            path = os.path.join(root, names[attr])
             write_table(df, path)
-            out[name] = path
-            self.__dict__[attr] = df.sparkSession.read.parquet(path)
+            return attr, path
+
+        for level in levels:
+            for attr in level:  # build the plans on this thread, run them below
+                getattr(self, attr)
+            if parallel and len(level) > 1:
+                with ThreadPoolExecutor(max_workers=len(level)) as pool:
+                    done = list(pool.map(write, level))
+            else:
+                done = [write(attr) for attr in level]
+            for attr, path in done:
+                out[names[attr]] = path
+                self.__dict__[attr] = spark.read.parquet(path)
             for derived in ("orders_labelled", "events_labelled"):
                 self.__dict__.pop(derived, None)
         if with_marts:
@@ -166,6 +185,13 @@ FACT_CLUSTERING = {
     "fact_events": ("event_date", "user_id"),
 }
 
+# Levels of the layer build: the tables of a level depend only on lower levels.
+LAYER_LEVELS = (
+    ("users", "orders", "events"),
+    ("dim_user", "dim_date", "dim_order_status", "dim_event_name"),
+    ("fact_orders", "fact_events"),
+)
+
 # Warehouse attribute -> table path under the layer root, in build order.
 LAYER_TABLES = {
     "users": "stg/stg_users_clean",
