@@ -13,6 +13,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
@@ -55,7 +56,11 @@ class Warehouse:
         def read(name):
             return spark.read.parquet(os.path.join(root, name))
 
-        w = cls(None, None, None, read("stg/comments"), params)
+        try:
+            comments = read("stg/comments")
+        except AnalysisException:  # layers written without comments
+            comments = None
+        w = cls(None, None, None, comments, params)
         for attr, name in LAYER_TABLES.items():
             w.__dict__[attr] = read(name)
         return w
