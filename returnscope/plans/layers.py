@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import dims, facts, marts, staging
@@ -156,8 +157,14 @@ class Warehouse:
                 # cluster before the per-token work downstream
                 df = spread(df)
             elif cluster_facts and attr in FACT_CLUSTERING:
-                keys = FACT_CLUSTERING[attr]
-                df = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+                # a seeded random last key splits rows equal on every column
+                keys = [*FACT_CLUSTERING[attr], "_tie"]
+                df = (
+                    df.withColumn("_tie", F.rand(17))
+                    .repartitionByRange(parts, *keys)
+                    .sortWithinPartitions(*keys)
+                    .drop("_tie")
+                )
             path = os.path.join(root, names[attr])
             write_table(df, path)
             return attr, path
