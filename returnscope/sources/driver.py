@@ -66,7 +66,9 @@ def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(copies)
 
 
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_raw(spark: SparkSession, sf_dir: str, copies: bool = True, negatives: bool = True) -> DataFrame:
+    """Raw orders; ``copies`` / ``negatives`` switch off the second copies and
+    the negative amounts (FIXTURES.md gives figures measured without them)."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     day = F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_DATE_EPOCH)) % 30
     second = (F.col("o_orderkey") * 7919) % 86400
@@ -78,15 +80,20 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("int").alias("user_id"),
         order_date.alias("order_date"),
-        F.when(F.col("o_orderkey") % NEGATIVE_AMOUNT_EVERY == 0, -amount).otherwise(amount).alias("amount"),
+        (F.when(F.col("o_orderkey") % NEGATIVE_AMOUNT_EVERY == 0, -amount).otherwise(amount) if negatives else amount).alias(
+            "amount"
+        ),
         _case(F.col("o_orderstatus"), ORDER_STATUS_TO_STATUS, F.col("o_orderstatus")).alias("status"),
         F.col("o_orderkey").alias("_key"),
     )
-    copies = base.where(F.col("_key") % DUPLICATE_EVERY == 0).withColumn("order_date", _one_day_later(F.col("order_date")))
-    return base.unionByName(copies).drop("_key")
+    if not copies:
+        return base.drop("_key")
+    extra = base.where(F.col("_key") % DUPLICATE_EVERY == 0).withColumn("order_date", _one_day_later(F.col("order_date")))
+    return base.unionByName(extra).drop("_key")
 
 
-def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_raw(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
+    """Raw events; ``copies`` switches off the second copies."""
     events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     t, eid = F.col("event_type"), F.col("event_id")
     name = (
@@ -103,8 +110,10 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("event_name"),
         eid.alias("_key"),
     )
-    copies = base.where(F.col("_key") % DUPLICATE_EVERY == 0).withColumn("event_date", _one_day_later(F.col("event_date")))
-    return base.unionByName(copies).drop("_key")
+    if not copies:
+        return base.drop("_key")
+    extra = base.where(F.col("_key") % DUPLICATE_EVERY == 0).withColumn("event_date", _one_day_later(F.col("event_date")))
+    return base.unionByName(extra).drop("_key")
 
 
 def comments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,3 +67,26 @@ def test_fixture_figures(spark):
     assert (r.pre_users, r.post_users) == (90, 60)
     dropoff = queries()["cart_dropoff"](spark, SF).agg(F.sum("users_dropoff")).collect()[0][0]
     assert dropoff == 18
+
+
+def test_asof_fixture_figure(spark):
+    """FIXTURES.md: at sf0.01 all paid orders (before copies and negative
+    amounts) give 4,933 rows in the as-of join, 314 with a later refund event."""
+    from pyspark.sql import functions as F
+
+    from returnscope.operators.asof import asof_forward_min
+    from returnscope.sources import driver
+
+    sf = "/root/testdata/sf0.01"
+    paid = driver.orders_raw(spark, sf, copies=False, negatives=False).where(F.col("status") == "Paid")
+    refunds = driver.events_raw(spark, sf, copies=False).where(F.col("event_name") == "refund")
+    first = asof_forward_min(
+        paid.select("order_id", "user_id", "order_date"),
+        refunds.select("user_id", F.col("event_date").alias("refund_ts")),
+        "user_id",
+        "order_date",
+        "refund_ts",
+        "refund_ts",
+    )
+    assert first.count() == 4933
+    assert first.where(F.col("refund_ts").isNotNull()).count() == 314
