@@ -55,6 +55,11 @@ def dense_ids(
     )
     # monotonically_increasing_id = (partition index << 33) + row index in partition
     ranged = ranged.withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    # the counts and the numbered rows must come from one evaluation (range
+    # bounds are sampled): write them once to the checkpoint folder
+    from ..sources.files import materialize
+
+    ranged = materialize(ranged, "dense-ids")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
