@@ -286,3 +286,26 @@ def test_asof_single_hot_instant_is_split(spark):
     got = asof_forward_min(p, b, "user_id", "order_date", "refund_ts", "refund_ts", num_partitions=4)
     assert {r.refund_ts for r in got.collect()} == {t}
     assert got.count() == 201
+
+
+def test_asof_large_input_partial_sampling(spark):
+    """Enough rows that range bounds come from a partial sample: both passes
+    of the operator must still see one partition numbering."""
+    import bisect
+
+    rnd = random.Random(11)
+    base = dt.datetime(2025, 6, 15)
+    probe = [(f"o{i}", 0 if i % 3 == 0 else rnd.randint(1, 500), base + dt.timedelta(seconds=rnd.randint(0, 10**6))) for i in range(20000)]
+    build = [(0 if i % 3 == 0 else rnd.randint(1, 500), base + dt.timedelta(seconds=rnd.randint(0, 10**6))) for i in range(10000)]
+    p = spark.createDataFrame(probe, "order_id string, user_id int, order_date timestamp_ntz").repartition(7)
+    b = spark.createDataFrame(build, "user_id int, refund_ts timestamp_ntz").repartition(5)
+    got = {r.order_id: r.refund_ts for r in asof_forward_min(p, b, "user_id", "order_date", "refund_ts", "refund_ts", num_partitions=16).collect()}
+    by_user = {}
+    for u, t in build:
+        by_user.setdefault(u, []).append(t)
+    for ts in by_user.values():
+        ts.sort()
+    for oid, u, t in probe:
+        ts = by_user.get(u, [])
+        i = bisect.bisect_left(ts, t)
+        assert got[oid] == (ts[i] if i < len(ts) else None), oid
