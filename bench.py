@@ -10,7 +10,8 @@ On $BENCH_SF_DIR (default /root/testdata/sf0.1) in local[$BENCH_CPUS] mode:
 Each plan runs in full into Spark's no-op sink.  Prints one JSON line:
 {"metric", "value" (sum of all seconds, layer build included), "unit",
 "queries": {name: seconds}, "sf"}.  A query is timed from DataFrame
-construction to the end of execution; the best of $BENCH_REPEAT runs counts.
+construction to the end of execution; repetitions go round-robin over the
+queries and the best of $BENCH_REPEAT runs counts.
 """
 
 from __future__ import annotations
@@ -68,14 +69,18 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="returnscope-bench")
     build_layers(spark, sf_dir)  # warm-up: JVM, code generation, file listing
-    times = {}
-    best_build, root = min(build_layers(spark, sf_dir) for _ in range(repeat))
-    times["build_layers"] = round(best_build, 3)
-    layered = Warehouse.from_layers(spark, root)
+    builds = [build_layers(spark, sf_dir) for _ in range(repeat)]
+    times = {"build_layers": round(min(t for t, _ in builds), 3)}
+    layered = Warehouse.from_layers(spark, builds[-1][1])
     raw = Warehouse.from_driver(spark, sf_dir)
-    for name in names:
-        w = raw if name in RAW_ONLY else layered
-        times[name] = round(min(run(w, name) for _ in range(repeat)), 3)
+    best: dict[str, float] = {}
+    # round-robin repetitions: a slow moment of the machine hits one run of
+    # many queries rather than every run of one query
+    for _ in range(repeat):
+        for name in names:
+            w = raw if name in RAW_ONLY else layered
+            best[name] = min(best.get(name, float("inf")), run(w, name))
+    times.update({name: round(best[name], 3) for name in names})
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total",
