@@ -65,7 +65,7 @@ def build_layers(spark, sf_dir: str) -> tuple[float, str]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "4"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="returnscope-bench")
     build_layers(spark, sf_dir)  # warm-up: JVM, code generation, file listing
