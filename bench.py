@@ -67,7 +67,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "4"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="returnscope-bench")
+    spark = local_session(
+        cpus,
+        shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
+        app="returnscope-bench",
+        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+    )
     build_layers(spark, sf_dir)  # warm-up: JVM, code generation, file listing
     builds = [build_layers(spark, sf_dir) for _ in range(repeat)]
     times = {"build_layers": round(min(t for t, _ in builds), 3)}

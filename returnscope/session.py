@@ -57,14 +57,16 @@ def configure_for_scale(spark: SparkSession, input_bytes: int) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "returnscope") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "returnscope", driver_memory: str = "8g"
+) -> SparkSession:
     """A local session for tests and benchmarks (UI off, no ports beyond Spark's own)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in REQUIRED_CONF.items():
