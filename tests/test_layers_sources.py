@@ -45,3 +45,15 @@ def test_materialize_cuts_lineage(spark):
     m = materialize(df, "twice")
     assert rows(m) == rows(df)
     assert m.inputFiles() and all(".parquet" in f for f in m.inputFiles())
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from returnscope.session import scale_conf
+
+    small = scale_conf(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    big = scale_conf(100 << 40)
+    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
+    mid = scale_conf(1 << 40)  # 1 TB / 256 MB
+    assert mid["spark.sql.shuffle.partitions"] == "4096"
+    assert mid["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
