@@ -4,6 +4,7 @@ from .analysis import (
     cart_dropoff,
     checkout_funnel_before_after,
     d7_retention_cohorts,
+    first_refunds,
     funnel_by_month,
     quick_refund_share,
     rr_before_after,

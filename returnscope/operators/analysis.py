@@ -300,19 +300,17 @@ def d7_retention_cohorts(
     )
 
 
-def quick_refund_share(
+def first_refunds(
     labelled_orders: DataFrame,
     labelled_events: DataFrame,
     release: dt.date = C.RELEASE_DATE,
     days: int = C.QUICK_REFUND_WINDOW_DAYS,
-    hours: int = C.QUICK_REFUND_HOURS,
     paid=C.PAID_STATUSES,
     refund_events=C.REFUND_EVENT_NAMES,
 ) -> DataFrame:
-    """Row 24: paid orders in [release, release + days); for each, the first
-    refund event of the same user at or after the order (forward as-of, refund
-    events cut to the same window); refunded orders, those refunded within
-    ``hours``, and their share %.  One refund may serve several orders."""
+    """Row 24, per order: paid orders in [release, release + days) with the
+    first refund event of the same user at or after the order (forward as-of;
+    refund events cut to the same window), NULL when there is none."""
     lo = ts_lit(release)
     hi = ts_lit(release + dt.timedelta(days=days))
     orders = labelled_orders.where(
@@ -321,7 +319,22 @@ def quick_refund_share(
     refunds = labelled_events.where(
         F.col("ev").isin(*refund_events) & (F.col("event_date") >= lo) & (F.col("event_date") < hi)
     ).select("user_id", F.col("event_date").alias("refund_ts"))
-    first = asof_forward_min(orders, refunds, "user_id", "order_date", "refund_ts", "refund_ts")
+    return asof_forward_min(orders, refunds, "user_id", "order_date", "refund_ts", "refund_ts")
+
+
+def quick_refund_share(
+    labelled_orders: DataFrame,
+    labelled_events: DataFrame,
+    release: dt.date = C.RELEASE_DATE,
+    days: int = C.QUICK_REFUND_WINDOW_DAYS,
+    hours: int = C.QUICK_REFUND_HOURS,
+    paid=C.PAID_STATUSES,
+    refund_events=C.REFUND_EVENT_NAMES,
+) -> DataFrame:
+    """Row 24: refunded orders among the paid orders of [release, release +
+    days), those refunded within ``hours``, and their share %.  One refund may
+    serve several orders."""
+    first = first_refunds(labelled_orders, labelled_events, release, days, paid, refund_events)
     return quick_refund_summary(first, hours)
 
 

@@ -32,27 +32,6 @@ def _segment_ab(w: Warehouse) -> DataFrame:
     return analysis.rr_segment_ab(w.orders_labelled, w.users, P.release, P.ab_window_days)
 
 
-def _first_refunds(w: Warehouse) -> DataFrame:
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    from ..functions.labels import ts_lit
-    from ..operators.asof import asof_forward_min
-
-    lo, hi = ts_lit(P.release), ts_lit(P.release + dt.timedelta(days=P.quick_refund_window_days))
-    o = w.orders_labelled.where(F.col("st").isin(*C.PAID_STATUSES) & (F.col("order_date") >= lo) & (F.col("order_date") < hi))
-    r = w.events_labelled.where(F.col("ev").isin(*C.REFUND_EVENT_NAMES) & (F.col("event_date") >= lo) & (F.col("event_date") < hi))
-    return asof_forward_min(
-        o.select("order_id", "user_id", "order_date"),
-        r.select("user_id", F.col("event_date").alias("refund_ts")),
-        "user_id",
-        "order_date",
-        "refund_ts",
-        "refund_ts",
-    )
-
-
 def _clusters(w: Warehouse):
     comments = _comments(w)
     spark = comments.sparkSession
@@ -126,7 +105,9 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "d7_retention_cohorts": lambda w: analysis.d7_retention_cohorts(
         w.users, w.events_labelled, P.d7_cohorts, P.d7_window_days
     ),
-    "first_refunds": _first_refunds,
+    "first_refunds": lambda w: analysis.first_refunds(
+        w.orders_labelled, w.events_labelled, P.release, P.quick_refund_window_days
+    ),
     "quick_refund_share": lambda w: analysis.quick_refund_share(
         w.orders_labelled, w.events_labelled, P.release, P.quick_refund_window_days, P.quick_refund_hours
     ),
