@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnscope.llm import substring
+from returnscope.llm import jaccard, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have Jaccard similarity 0.9 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def queries() -> dict[str, Query]:
-    return {"op9_substring_dedup": op9_substring_dedup}
+    return {
+        "op9_substring_dedup": op9_substring_dedup,
+        "op10_jaccard_join": op10_jaccard_join,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
