@@ -32,6 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows in this session, so that one of documents is some megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 

@@ -16,7 +16,8 @@ their m and n: they must occur together on T of their inverted lists.
    (|xor| never exceeds the symmetric difference) do not rule it out become
    candidates.  The first round keeps each node's closest candidate, so a
    group of n near copies sends n pairs, not n * n.  Lists with very many
-   nodes are dealt as pairs of parts to many tasks.
+   nodes are dealt as pairs of parts to many tasks.  What these bitmaps of a
+   fixed width let through meets bitmaps as wide as the sets.
 4. DivideSkip decides candidates on the whole sets: per query, the inverted
    lists over its candidates are split into the L longest and the rest; the
    rest are heap-merged, candidates found on at least T - L of them are
@@ -49,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.llm import words as W
-from returnscope.llm.common import slices, text_buffers, written
+from returnscope.llm.common import slices, small_batches, text_buffers, written
 from returnscope.llm.graph import components
 
 CELLS = 1 << 22  # cells of the list-size sketch
@@ -199,6 +200,7 @@ def _short_lists(docs: DataFrame, k: int, percent: int, sizes) -> DataFrame:
             take = order[place[order] < np.repeat(prefix, count)]
             bits = np.bincount(doc * BITMAP_BITS + (tokens & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=m * BITMAP_BITS) & 1
             packed = np.packbits(bits.astype(np.uint8)).tobytes()
+            wide = [_parity(tokens[e - c : e]) for e, c in zip(np.cumsum(count), count, strict=True)]
             ends = np.concatenate([[0], np.cumsum(np.minimum(prefix, count))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[take].astype(np.int64)))
             width = BITMAP_BITS // 8
@@ -208,11 +210,27 @@ def _short_lists(docs: DataFrame, k: int, percent: int, sizes) -> DataFrame:
                     pa.array(_sums(W.mix(tokens + np.uint64(0xA5A5A5A5)), count).view(np.int64)),
                     lists,
                     pa.array([packed[i * width : (i + 1) * width] for i in range(m)], pa.binary()),
+                    pa.array(wide, pa.binary()),
                 ],
-                names=["id", "a", "tokens", "bits"],
+                names=["id", "a", "tokens", "bits", "wide"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, a long, tokens array<long>, bits binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, a long, tokens array<long>, bits binary, wide binary")
+
+
+def _parity(tokens: np.ndarray) -> bytes:
+    """Parity bitmap of one set, of two bits per shingle or a little more."""
+    bits = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    count = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(count.astype(np.uint8)).tobytes()
+
+
+def _difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference: xor of two parity bitmaps, the longer one folded."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _sets(docs: DataFrame, k: int, bloom) -> DataFrame:
@@ -325,6 +343,22 @@ def _candidates(postings: DataFrame, percent: int, closest: bool) -> DataFrame:
     return pairs.select("r", "s").distinct()
 
 
+def _likely(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs that bitmaps as wide as their sets do not rule out."""
+    s = nodes.select(F.col("id").alias("s"), F.col("n").alias("s_n"), F.col("wide").alias("s_wide"))
+    r = nodes.select(F.col("id").alias("r"), F.col("n").alias("r_n"), F.col("wide").alias("r_wide"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("r_n").to_numpy().astype(np.int64) + batch.column("s_n").to_numpy()
+            most = both - 2 * needed(both, 0, percent)
+            wide = zip(batch.column("r_wide").to_pylist(), batch.column("s_wide").to_pylist(), most, strict=True)
+            fit = pa.array([_difference(x, y) <= d for x, y, d in wide], pa.bool_())
+            yield batch.select(["r", "s"]).filter(fit)
+
+    return pairs.join(s, "s").join(r, "r").mapInArrow(run, "r long, s long")
+
+
 def _links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The candidate pairs that link, decided by DivideSkip on the whole sets."""
     spark = docs.sparkSession
@@ -355,11 +389,12 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, list_part
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
+    small_batches(spark)
     profiles = written(_profiles(docs, k), "profiles")
     known = profiles.filter("chunk IS NULL").select("doc_id", "n", "a", "b")
     sizes = spark.sparkContext.broadcast(_list_sizes(profiles))
     reps = known.filter("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b", "n").agg(F.min("doc_id").alias("id"))
-    nodes = written(_short_lists(docs, k, percent, sizes).join(reps.drop("b"), ["id", "a"]).select("id", "n", "tokens", "bits"), "nodes")
+    nodes = written(_short_lists(docs, k, percent, sizes).join(reps.drop("b"), ["id", "a"]).select("id", "n", "tokens", "bits", "wide"), "nodes")
 
     slim = nodes.select(F.explode("tokens").alias("token"), "id")
     shared = slim.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
@@ -378,7 +413,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, list_part
         return rows.withColumn("pair", pair).select("token", "pair.i", "pair.j", "id", "n", "component", "own", "bits")
 
     def linked(labels: DataFrame | None, closest: bool) -> DataFrame:
-        pairs = written(_candidates(postings(labels), percent, closest), "pairs")
+        pairs = _candidates(postings(labels), percent, closest)
+        pairs = written(_likely(nodes, pairs, percent), "pairs")
         return written(_links(docs, pairs, k, percent), "links")
 
     def label(links: DataFrame) -> DataFrame:
