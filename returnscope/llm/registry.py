@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnscope.llm import jaccard, substring
+from returnscope.llm import jaccard, language, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, *language.learn(docs))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and tokens of every document."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated 20-word windows."""
     return substring.dedup_substrings(table(spark, sf_dir, "documents"))
@@ -27,6 +44,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_language_id": op4_language_id,
+        "op7_token_counts": op7_token_counts,
+        "op8_quality_classifier": op8_quality_classifier,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_jaccard_join": op10_jaccard_join,
     }
