@@ -116,6 +116,10 @@ def pre_tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low, s, e, np.repeat(np.arange(len(off) - 1), np.diff(first))[run]
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def learn(
     docs: DataFrame, vocabulary: str = P.VOCABULARY, sample_docs: int = 1000, sample_words: int = 30_000
 ) -> tuple[list[str], np.ndarray, np.ndarray, list[bytes]]:
@@ -124,8 +128,11 @@ def learn(
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.lower(F.col("text").cast("string")).alias("text"))
     known = rows.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = dict(known.groupBy("lang").agg(F.count(F.lit(1))).collect())
+    # about four times the sample of each language goes to its window, whatever the language's size
+    chance = F.expr("CASE lang " + " ".join(f"WHEN {_quoted(x)} THEN {min(1.0, 4 * sample_docs / n)}" for x, n in share.items()) + " END") if share else F.lit(1.0)
+    drawn = known.filter(F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1 << 31)) < chance * (1 << 31))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = known.select("doc_id", "lang").withColumn("place", place).filter(F.col("place") <= sample_docs)
+    ids = drawn.select("doc_id", "lang").withColumn("place", place).filter(F.col("place") <= sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnscope.llm import jaccard, language, quality, substring, tokens
+from returnscope.llm import decontaminate, jaccard, language, mixing, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with other numbers, units or names."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, *language.learn(docs))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates per document that bring the domains of the labels to equal token totals."""
+    return mixing.mix_to_targets(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and tokens of every document."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
@@ -44,7 +54,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_decontamination": op3_decontamination,
         "op4_language_id": op4_language_id,
+        "op6_source_mixing": op6_source_mixing,
         "op7_token_counts": op7_token_counts,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_substring_dedup": op9_substring_dedup,
