@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.llm.common import written
+from returnscope.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,5 +38,6 @@ def components(edges: DataFrame) -> DataFrame:
     was = None
     while (sign := tuple(now.agg(*mark).first())) != was:
         was = sign
-        now = written(_small_star(_large_star(now)), "edges")
+        before, now = now, written(_small_star(_large_star(now)), "edges")
+        discard(before)
     return now

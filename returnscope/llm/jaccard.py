@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.llm import words as W
-from returnscope.llm.common import slices, small_batches, text_buffers, written
+from returnscope.llm.common import discard, slices, small_batches, text_buffers, written
 from returnscope.llm.graph import components
 
 CELLS = 1 << 22  # cells of the list-size sketch
@@ -415,7 +415,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, list_part
     def linked(labels: DataFrame | None, closest: bool) -> DataFrame:
         pairs = _candidates(postings(labels), percent, closest)
         pairs = written(_likely(nodes, pairs, percent), "pairs")
-        return written(_links(docs, pairs, k, percent), "links")
+        links = written(_links(docs, pairs, k, percent), "links")
+        discard(pairs)
+        return links
 
     def label(links: DataFrame) -> DataFrame:
         return components(links).select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -423,6 +425,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, list_part
     near = linked(None, True)
     rest = linked(label(near), False)
     labels = label(near.unionByName(rest))
+    discard(nodes, on_lists, near, rest)
     named = reps.join(labels, "id", "left").select("a", "b", "n", F.coalesce("component", "id").alias("component_id"))
     own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return known.join(named, ["a", "b", "n"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnscope.llm import decontaminate, jaccard, language, mixing, quality, substring, tokens
+from returnscope.llm import decontaminate, hnsw, jaccard, language, mixing, quality, substring, template, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived as a WARC record, read back and merged into one capture index."""
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return template.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers, units or names."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -26,6 +36,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, *language.learn(docs))
 
 
+def op5_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), top=20, every=20)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates per document that bring the domains of the labels to equal token totals."""
     return mixing.mix_to_targets(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -54,8 +69,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc_index": op1_warc_index,
+        "op2_template_extraction": op2_template_extraction,
         "op3_decontamination": op3_decontamination,
         "op4_language_id": op4_language_id,
+        "op5_hnsw_search": op5_hnsw_search,
         "op6_source_mixing": op6_source_mixing,
         "op7_token_counts": op7_token_counts,
         "op8_quality_classifier": op8_quality_classifier,
