@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from returnscope.llm.common import written
+
 #: Words that are units when they follow a number.
 UNITS = (
     "mm cm m km in ft yd mi mile miles meter meters metre metres inch inches foot feet "
@@ -48,12 +50,12 @@ def words(text: Column) -> Column:
 def canonical(of: str) -> Column:
     """64-bit codes of the words in an array column; placeholders are the small codes of _TYPES."""
     units = ", ".join(f"'{u}'" for u in UNITS)
-    digit = "substr({}, 1, 1) BETWEEN '0' AND '9'"
+    digit = "({0} >= '0' AND {0} < ':')"  # by the first byte
     return F.expr(
         f"transform({of}, (w, i) -> CASE"
         f" WHEN {digit.format('w')} THEN {_TYPES['number']}L"
-        f" WHEN startswith(w, '{NAME}') THEN {_TYPES['name']}L"
-        f" WHEN w IN ({units}) AND i > 0 AND {digit.format(f'get({of}, i - 1)')} THEN {_TYPES['unit']}L"
+        f" WHEN w < '0' THEN {_TYPES['name']}L"  # the mark stands before all letters and digits
+        f" WHEN {digit.format(f'get({of}, i - 1)')} AND w IN ({units}) THEN {_TYPES['unit']}L"
         f" ELSE xxhash64(w) END)"
     )
 
@@ -99,6 +101,7 @@ def contaminated(
         "doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
         _slots("codes", "item_words", "doc_words").alias("slots"),
     )
+    hits = written(hits, "hits")  # few rows, read twice
     place = ["doc_id", "item_id", "shift"]
     values = hits.select(*place, F.explode("slots").alias("slot")).select(*place, "slot.type", "slot.theirs", "slot.ours").distinct()
     values = values.groupBy(*place, "type", "theirs").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("CAST(ours <> theirs AS INT)")).alias("changed"))
