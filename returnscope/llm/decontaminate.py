@@ -77,23 +77,25 @@ def contaminated(
     """doc_id, item_id, n_windows, item_windows, n_slots, n_changed of every contaminated pair."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words")).filter("item_id IS NOT NULL")
     items = items.withColumn("codes", canonical("words")).withColumn("windows", _windows("codes", k))
-    ours = items.select("item_id", "words", "codes", F.posexplode("windows").alias("item_at", "window"))
+    # explode_outer: for a plain explode the optimizer adds a filter that computes the windows twice
+    ours = items.select("item_id", "words", "codes", F.posexplode_outer("windows").alias("item_at", "window")).filter("window IS NOT NULL")
     ours = ours.select(
         "item_id", "item_at", "window",
         F.expr(f"slice(codes, item_at + 1, {k})").alias("codes"), F.expr(f"slice(words, item_at + 1, {k})").alias("item_words"),
     )
     ours = ours.filter(F.expr("size(filter(codes, c -> c NOT BETWEEN 1 AND 3))") >= min_literal)
+    ours = written(ours, "items")
     keys = ours.select("item_id", "item_at", "window").distinct()
     item_windows = keys.groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words")).filter("doc_id IS NOT NULL")
     text = text.withColumn("codes", canonical("words"))
-    text = text.select("doc_id", "words", F.posexplode(_windows("codes", k)).alias("at", "window"))
+    text = text.select("doc_id", "words", F.posexplode_outer(_windows("codes", k)).alias("at", "window"))
     window_words = F.expr(f"slice(words, at + 1, {k})").alias("doc_words")
     if keys.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 20 bytes a row
         hits = text.join(F.broadcast(keys), "window").select("doc_id", "at", "item_id", "item_at", window_words)
     else:
-        hits = text.select("doc_id", "at", "window", window_words).join(keys, "window").drop("window")
+        hits = text.filter("window IS NOT NULL").select("doc_id", "at", "window", window_words).join(keys, "window").drop("window")
 
     theirs = ours.select("item_id", "item_at", "codes", "item_words").distinct()
     hits = hits.join(theirs, ["item_id", "item_at"])
