@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.llm.common import slices, small_batches
+from returnscope.llm.common import slices, small_batches, written
 
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -225,6 +225,7 @@ def host_slots(pages: DataFrame) -> DataFrame:
 
     rows = _pages(pages).mapInArrow(run, "host string, path string, pages long, total long, vector long, weight long")
     tokens = rows.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.bit_xor("vector").alias("vector"), F.sum("weight").alias("weight"))
+    tokens = written(tokens, "tokens")  # read by the classes and by their members
     vector = ["host", "pages", "total", "vector"]
     classes = tokens.groupBy(*vector).agg(F.count(F.lit(1)).alias("members"), F.max(F.col("path") == "").alias("root"))
     valid = classes.filter("members >= 2 AND pages >= 2 AND total = pages")  # occurs once a page: the outer template
@@ -242,7 +243,7 @@ def host_slots(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, broadcast_hosts: int = 100_000, salts: int = 64) -> DataFrame:
     """page_id, url, text, n_chars of every page (see the module)."""
-    slots = host_slots(pages).filter(F.length("slot") <= 1000)
+    slots = written(host_slots(pages).filter(F.length("slot") <= 1000), "slots")
     few = slots.limit(broadcast_hosts + 1).count() <= broadcast_hosts  # 1.3 kB a host at most
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = _pages(pages).withColumn("host", host)
