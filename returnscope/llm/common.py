@@ -78,7 +78,7 @@ def text_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.nda
     return whole[off[0] : off[-1]], off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``max_bytes`` of text (one row at least)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -46,6 +46,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ from returnscope.llm import words as W
 from returnscope.llm.common import discard, slices, small_batches, text_buffers, written
 from returnscope.llm.graph import components
 
-CELLS = 1 << 22  # cells of the list-size sketch
+CELLS = 1 << 21  # cells of the list-size sketch
 CHUNK = 1 << 16  # cells per row when sketches are added up
 BLOOM_BITS = 1 << 26
 BITMAP_BITS = 512
@@ -135,31 +136,32 @@ def divide_skip(query: list[int], records: list[list[int]], required: list[int],
 
 # --- passes over the texts -------------------------------------------------
 
-PROFILE = "doc_id long, n int, a long, b long, chunk int, counts binary"
+PROFILE = "doc_id long, n int, a long, b long, part int, chunk int, counts binary"
+FAN_IN = 64  # sketches added up in one task
 
 
 def _profiles(docs: DataFrame, k: int) -> DataFrame:
     """Size and digest of every set; at a task's end, its part of the list-size sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "a", "b", "chunk", "counts"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["doc_id", "n", "a", "b", "part", "chunk", "counts"]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
         sketch = np.zeros(CELLS, np.uint32)
         for batch in slices(batches, "text"):
             tokens, count = shingle_sets(*text_buffers(batch.column("text")), k)
-            sketch += np.bincount((tokens & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+            np.add.at(sketch, (tokens & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
             a = _sums(W.mix(tokens + np.uint64(0xA5A5A5A5)), count).view(np.int64)
             b = _sums(W.mix(tokens ^ np.uint64(0x5DEECE66D)), count).view(np.int64)
             m = len(count)
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(count, pa.int32()), pa.array(a), pa.array(b), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                [batch.column("doc_id"), pa.array(count, pa.int32()), pa.array(a), pa.array(b), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                 names=names,
             )
         parts = sketch.reshape(-1, CHUNK)
         some = np.flatnonzero(parts.any(axis=1))
-        m = len(some)
+        m, part = len(some), TaskContext.get().partitionId()
         yield pa.record_batch(
-            [pa.nulls(m, t) for t in types[:4]] + [pa.array(some, pa.int32()), pa.array([parts[i].astype("<u4").tobytes() for i in some], pa.binary())],
+            [pa.nulls(m, t) for t in types] + [pa.array([part] * m, pa.int32()), pa.array(some, pa.int32()), pa.array([parts[i].astype("<u4").tobytes() for i in some], pa.binary())],
             names=names,
         )
 
@@ -169,17 +171,23 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
 def _list_sizes(profiles: DataFrame) -> np.ndarray:
     """The merged sketch as classes (bit lengths of the counts): CELLS bytes, whatever the input."""
 
-    def add(table):
+    def add(key, table):
         total = np.zeros(CHUNK, np.uint64)
-        for data in table["counts"].to_pylist():
-            total += np.frombuffer(data, "<u4")
-        classes = np.where(total > 0, np.floor(np.log2(np.maximum(total, 1))) + 1, 0).astype(np.uint8)
-        return pa.table({"chunk": table["chunk"][:1], "classes": pa.array([classes.tobytes()], pa.binary())})
-
+        for data in table["counts"]:
+            total += np.frombuffer(data.as_buffer(), "<u4")
+        total = np.minimum(total, (1 << 32) - 1).astype("<u4")
+        return pa.table({"part": [key[0].as_py()], "chunk": [key[1].as_py()], "counts": pa.array([total.tobytes()], pa.binary())}).cast(shape)
+
+    shape = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
+    rows = profiles.filter("chunk IS NOT NULL").select("part", "chunk", "counts")
+    parts = (rows.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > 1:  # a tree of sums: no task holds more than FAN_IN pieces of a chunk
+        parts = math.ceil(parts / FAN_IN)
+        rows = rows.withColumn("part", (F.col("part") / FAN_IN).cast("int")).groupBy("part", "chunk").applyInArrow(add, "part int, chunk int, counts binary")
     out = np.zeros((CELLS // CHUNK, CHUNK), np.uint8)
-    rows = profiles.filter("chunk IS NOT NULL").select("chunk", "counts")
-    for chunk, classes in rows.groupBy("chunk").applyInArrow(add, "chunk int, classes binary").collect():
-        out[chunk] = np.frombuffer(classes, np.uint8)
+    for _, chunk, counts in rows.collect():
+        total = np.frombuffer(counts, "<u4")
+        out[chunk] = np.where(total > 0, np.floor(np.log2(np.maximum(total, 1))) + 1, 0)
     return out.ravel()
 
 

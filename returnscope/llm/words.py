@@ -28,7 +28,7 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             out.append(np.cumprod(p, dtype=np.uint64))
         have = (out[0], out[1])
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _powers[base] = have
     return have
 
@@ -54,7 +54,7 @@ def split(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, off)
 
 
-def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 20) -> np.ndarray:
+def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of each [start, end) of ``buf`` (starts ascending), in byte chunks."""
     out = np.empty(len(starts), np.uint64)
     i = 0
@@ -71,7 +71,7 @@ def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1
     return out
 
 
-def windows(words: np.ndarray, k: int, base: int = BASE, chunk: int = 1 << 20) -> np.ndarray:
+def windows(words: np.ndarray, k: int, base: int = BASE, chunk: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of every run of k consecutive word hashes (len - k + 1 of them)."""
     n = len(words) - k + 1
     out = np.empty(max(n, 0), np.uint64)
