@@ -1,7 +1,7 @@
 """Parameters of the library.
 
 Every operator takes these as keyword arguments; the defaults are the values the
-original analysis fixes.  ``DriverParams`` holds the values used on the driver's
+original analysis fixes.  ``DRIVER_PARAMS`` holds the values used on the driver's
 synthetic tables (FIXTURES.md), where the release falls on 2024-01-16.
 """
 

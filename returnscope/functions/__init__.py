@@ -12,7 +12,7 @@ from .labels import (
     status_group,
     ts_lit,
 )
-from .stats import erfc, erfc_py, pct, ratio, two_proportion_ztest
+from .stats import erfc, pct, ratio, two_proportion_ztest
 
 __all__ = [
     "calendar_columns",
@@ -22,7 +22,6 @@ __all__ = [
     "channel_group",
     "date_lit",
     "erfc",
-    "erfc_py",
     "flag",
     "pct",
     "period",

@@ -26,7 +26,7 @@ from .marts import (
     first_purchase,
     funnel_daily,
     marts_kpi_daily,
-    marts_kpi_daily_naive,
+    marts_kpi_daily_stacked,
     marts_segments,
     step_daily,
 )

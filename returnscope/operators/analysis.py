@@ -281,8 +281,8 @@ def d7_retention_cohorts(
     ).select(cu.cohort, cu.user_id, days_active.event_day.isNotNull().alias("hit"))
     per_user = hit.groupBy("cohort", "user_id").agg(F.max(flag(F.col("hit"))).alias("retained"))
     agg = per_user.groupBy("cohort").agg(
-        F.count_distinct("user_id").alias("new_users_count"),
-        F.count_distinct(F.when(F.col("retained") == 1, F.col("user_id"))).alias("retained_users_count"),
+        F.count("user_id").alias("new_users_count"),
+        F.sum(F.when(F.col("user_id").isNotNull(), F.col("retained")).otherwise(0)).alias("retained_users_count"),
     ).withColumn(
         "d7_retention",
         F.when(F.col("new_users_count") == 0, F.lit(0.0)).otherwise(pct("retained_users_count", "new_users_count")),
@@ -434,34 +434,21 @@ def cart_dropoff(
     Segments with no drop-off, and NULL segment keys, do not appear (inner
     equality join of the two counts) unless ``keep_zero``."""
     keys = ["period", *SEGMENT]
-    # distinct (user, period) per step before the user join: the join meets at
-    # most two rows per user and step, however many events a user has
-    seg = users.select("user_id", *SEGMENT)
-
-    def step_users(step):
-        per_user = (
-            labelled_events.where(F.col("ev") == step)
-            .select("user_id", period("event_date", release).alias("period"))
-            .distinct()
-        )
-        return per_user.join(seg, "user_id", "inner").select("user_id", *keys).distinct()
-
-    cart = step_users(cart_step)
-    buyers = step_users(pay_step)
-    added = cart.groupBy(*keys).agg(F.count_distinct("user_id").alias("users_added_to_cart"))
-    dropped = (
-        cart.join(buyers, ["user_id", *keys], "left_anti")
+    # one scan: per (user, period) did they add to cart, did they pay; the user
+    # join then meets at most one row per user and period
+    per_user = (
+        labelled_events.where(F.col("ev").isin(cart_step, pay_step))
+        .groupBy("user_id", period("event_date", release).alias("period"))
+        .agg(*(F.max((F.col("ev") == s).cast("int")).alias(n) for s, n in ((cart_step, "_cart"), (pay_step, "_paid"))))
+        .where(F.col("_cart") == 1)
+    )
+    j = (
+        per_user.join(users.select("user_id", *SEGMENT), "user_id", "inner")
         .groupBy(*keys)
-        .agg(F.count_distinct("user_id").alias("users_dropoff"))
+        .agg(F.count(F.lit(1)).alias("users_added_to_cart"), F.sum(1 - F.col("_paid")).alias("users_dropoff"))
     )
-    if keep_zero:
-        # every segment with cart users, NULL keys included, 0 where none dropped
-        cond = [added[k].eqNullSafe(dropped[k]) for k in keys]
-        j = added.join(dropped, cond, "left").select(
-            *[added[k] for k in keys], F.coalesce(dropped.users_dropoff, F.lit(0)).alias("users_dropoff"), "users_added_to_cart"
-        )
-    else:
-        j = added.join(dropped, keys, "inner")
+    if not keep_zero:
+        j = j.where(F.col("users_dropoff") > 0).na.drop(subset=keys)
     return j.select(
         *keys,
         "users_dropoff",

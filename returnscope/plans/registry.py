@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import analysis, marts, quality, text
@@ -64,9 +65,12 @@ def _wl(f):
 def _key_violations(w: Warehouse) -> DataFrame:
     return quality.key_violations(
         {
-            "users_raw": (w.users_raw, "user_id"),
-            "orders_raw": (w.orders_raw, "order_id"),
-            "events_raw": (w.events_raw, "event_id"),
+            "users_raw": (w.users_raw, ["user_id"]),
+            "orders_raw": (w.orders_raw, ["order_id"]),
+            "events_raw": (w.events_raw, ["event_id"]),
+            "dim_date": (w.dim_date, ["date_key"]),
+            "dim_order_status": (w.dim_order_status, ["status_id", "status_name"]),
+            "dim_event_name": (w.dim_event_name, ["event_name_id", "event_name"]),
         }
     )
 
@@ -94,7 +98,7 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "d7_purchase_retention": lambda w: marts.d7_purchase_retention(w.orders_labelled),
     "date_spine": lambda w: marts.date_spine(w.orders_labelled, w.events_labelled),
     "marts_kpi_daily": lambda w: marts.marts_kpi_daily(w.orders_labelled, w.events_labelled),
-    "marts_kpi_daily_naive": lambda w: marts.marts_kpi_daily_naive(w.orders_labelled, w.events_labelled),
+    "marts_kpi_daily_naive": lambda w: marts.marts_kpi_daily_stacked(w.orders_labelled, w.events_labelled),
     "marts_segments": lambda w: marts.marts_segments(w.orders_labelled, w.dim_user),
     # analyses (rows 20-27)
     "rr_before_after": lambda w: analysis.rr_before_after(w.orders_labelled, P.release, P.rr_range),
@@ -115,11 +119,12 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.users, w.events_labelled, P.rr_cohort_pre, P.rr_cohort_post, P.rr_cohort_window_days
     ),
     "cart_dropoff": lambda w: analysis.cart_dropoff(w.events_labelled, w.dim_user, P.release),
-    "rr_ztest": lambda w: analysis.rr_ztest(_segment_ab(w)),
+    "rr_ztest": lambda w: analysis.rr_ztest(_segment_ab(w)).withColumn("p_value", F.round("p_value", 10)),
     # text (rows 28-35)
     "load_comments": lambda w: _comments(w),
     "clean_text": lambda w: text.clean_text(_comments(w)),
-    "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES),
+    # weights and p-values are compared to 10 decimals: last bits depend on summation order
+    "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES).withColumn("weight", F.round("weight", 10)),
     "kmeans_elbow": lambda w: text.kmeans_elbow(_clusters(w)[1], C.KMEANS_K_RANGE, C.KMEANS_SEED),
     "kmeans_assign": lambda w: _assigned(w)[1].select("comment_id", "cluster"),
     "silhouette": lambda w: text.silhouette(_assigned(w)[1]),

@@ -8,6 +8,7 @@ the cluster already set (notably ``spark.checkpoint.dir``) alone.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized for ``input_bytes`` of parquet input.
 
     Shuffle partitions start at input / ``partition_bytes`` (AQE coalesces the
@@ -38,7 +39,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partition
     about one scan split and fits executor memory; joins broadcast only sides
     that AQE measured below 64 MB.
     """
-    n = max(8, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(8, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -80,14 +81,17 @@ def local_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    The cluster's setting always wins.  Only a local session without it gets a
+    fresh scratch folder; on any other master a folder of the driver's machine
+    would lose the executors' files, so the missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="returnscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -117,9 +117,9 @@ def events_raw(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFra
 
 
 def comments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents as customer comments (comment_id, comment_date, comment)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
-    return docs.where(F.col("lang") == "en").select(
+    """Documents as customer comments (comment_id, comment_date, comment)."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return docs.select(
         F.col("doc_id").cast("long").alias("comment_id"),
         F.date_add(F.lit(COMMENT_DATE_BASE), (F.col("doc_id") % 25).cast("int")).cast("timestamp_ntz").alias("comment_date"),
         F.col("text").alias("comment"),

@@ -9,14 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .schemas import COMMENTS_CSV
 
 
-def read_comments_csv(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
-    """CSV scan of customer comments with an explicit schema (no inference pass)."""
-    raw = spark.read.schema(COMMENTS_CSV).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_comments_csv(
+    spark: SparkSession, path: str, timestamp_format: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV scan of customer comments; columns are found by their header names.
+
+    The file has ``comment_date`` and ``comment``; a ``comment_id`` column is
+    used if there is one, else it is NULL.  ``multi_line`` reads quoted line
+    breaks, at the price of one task per file.
+    """
+    # without a schema all columns are strings, under the header's names: only the header is read
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    raw = raw.toDF(*(c.strip().lower() for c in raw.columns))
     ts = F.to_timestamp_ntz("comment_date", F.lit(timestamp_format)) if timestamp_format else F.to_timestamp_ntz("comment_date")
-    return raw.select("comment_id", ts.alias("comment_date"), "comment")
+    number = F.col("comment_id").cast("long") if "comment_id" in raw.columns else F.lit(None).cast("long")
+    return raw.select(number.alias("comment_id"), ts.alias("comment_date"), "comment")
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

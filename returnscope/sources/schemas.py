@@ -31,16 +31,7 @@ EVENTS_RAW = T.StructType(
     ]
 )
 
-# The comments file has a header and two columns; comment_id is ours, for a
-# stable order of the examples per cluster.
-COMMENTS_CSV = T.StructType(
-    [
-        T.StructField("comment_id", T.LongType()),
-        T.StructField("comment_date", T.StringType()),
-        T.StructField("comment", T.StringType()),
-    ]
-)
-
+# comment_id is ours, for a stable order of the examples per cluster; the file may lack it.
 COMMENTS = T.StructType(
     [
         T.StructField("comment_id", T.LongType()),

@@ -20,7 +20,7 @@ def test_read_comments_csv(spark, tmp_path):
         '2,2025-06-16 00:00:00,"multi\nline, ""quoted"""\n'
         "3,2025-06-17 00:00:00,\n"
     )
-    df = read_comments_csv(spark, str(path))
+    df = read_comments_csv(spark, str(path), multi_line=True)
     got = rows(df, "comment_id", "comment_date", "comment")
     assert got == [
         (1, dt.datetime(2025, 6, 15, 10), "Checkout button, hidden"),
@@ -30,6 +30,30 @@ def test_read_comments_csv(spark, tmp_path):
     assert [r.comment_id for r in text.comments_in_range(df).collect()] == [1, 2]
 
 
+def test_read_comments_csv_of_two_columns(spark, tmp_path):
+    path = tmp_path / "comments.csv"
+    path.write_text("comment,comment_date\ngood button,2025-06-15 10:00:00\n")
+    got = rows(read_comments_csv(spark, str(path)), "comment_id", "comment_date", "comment")
+    assert got == [(None, dt.datetime(2025, 6, 15, 10), "good button")]
+
+
+def test_no_checkpoint_folder_of_the_driver_on_a_cluster():
+    import pytest
+
+    from returnscope.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
+
+
 def test_stored_layers_give_the_same_marts(spark, tmp_path):
     raw = Warehouse.from_driver(spark, SF, C.DRIVER_PARAMS)
     expected = rows(marts.marts_kpi_daily(raw.orders_labelled, raw.events_labelled))
@@ -53,7 +77,7 @@ def test_scale_conf_sizes_partitions_from_input():
     small = scale_conf(10 << 20)
     assert small["spark.sql.shuffle.partitions"] == "8"
     big = scale_conf(100 << 40)
-    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
+    assert big["spark.sql.shuffle.partitions"] == "409600"  # no cap
     mid = scale_conf(1 << 40)  # 1 TB / 256 MB
     assert mid["spark.sql.shuffle.partitions"] == "4096"
     assert mid["spark.sql.files.maxPartitionBytes"] == str(256 << 20)

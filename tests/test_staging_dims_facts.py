@@ -113,5 +113,5 @@ def test_dim_date_calendar(spark):
 def test_unique_key_check(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,), (3,), (3,)], "k int")
     assert rows(unique_key_check(df, ["k"]), "k", "n_rows") == [(1, 2), (3, 3), (None, 1)]
-    kv = key_violations({"t": (df, "k")})
+    kv = key_violations({"t": (df, ["k"])})
     assert rows(kv, "table_name", "key_value", "n_rows") == [("t", "1", 2), ("t", "3", 3), ("t", None, 1)]
