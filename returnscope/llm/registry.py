@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as a WARC record, read back and merged into one capture index."""
-    return warc.archive_pages(table(spark, sf_dir, "pages"))
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,5 +83,61 @@ def queries() -> dict[str, Query]:
     }
 
 
+WORD_SPLIT = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP1_SQL = """
+WITH p AS (
+    SELECT page_id, COALESCE(html, '') AS html, octet_length(encode(COALESCE(html, ''))) AS size FROM pages
+),
+f AS (SELECT *, CASE WHEN size >= 100 THEN MIN(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, size AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, {WORD_SPLIT.format(text="COALESCE(text, '')")} AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+spans AS (
+    SELECT doc_id, i, string_agg(word, ' ') OVER w AS span, COUNT(*) OVER w AS n FROM words
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+),
+repeats AS (
+    SELECT doc_id, i, 1 AS again FROM spans WHERE n = 20 QUALIFY row_number() OVER (PARTITION BY span ORDER BY doc_id, i) > 1
+),
+marked AS (
+    SELECT doc_id, i, word, MAX(COALESCE(again, 0)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM words LEFT JOIN repeats USING (doc_id, i)
+)
+SELECT doc_id, COUNT(word) AS n_words, COALESCE(SUM(gone), 0)::BIGINT AS n_removed,
+       sha256(COALESCE(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '')) AS kept_sha256
+FROM d LEFT JOIN marked USING (doc_id) GROUP BY doc_id"""
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {WORD_SPLIT.format(text="translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents
+),
+words AS (SELECT doc_id, len(ws) AS size, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+spans AS (
+    SELECT doc_id, size, string_agg(word, ' ') OVER w AS shingle, COUNT(*) OVER w AS n, i FROM words
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)
+),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, shingle FROM spans WHERE n = 3 OR (i = 1 AND size < 3)),
+sizes AS MATERIALIZED (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS n_both FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * n_both >= 90 * (p.n + q.n - n_both)
+),
+reach(x, y) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT x AS doc_id, COALESCE(n, 0) AS n_shingles, MIN(y) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = x GROUP BY x, n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_index": OP1_SQL, "op9_substring_dedup": OP9_SQL, "op10_jaccard_join": OP10_SQL}
