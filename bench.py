@@ -71,7 +71,7 @@ def main() -> None:
         cpus,
         shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
         app="returnscope-bench",
-        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "12g"),
     )
     build_layers(spark, sf_dir)  # warm-up: JVM, code generation, file listing
     builds = [build_layers(spark, sf_dir) for _ in range(repeat)]
