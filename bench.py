@@ -58,7 +58,7 @@ def run(warehouse, name: str) -> float:
 def build_layers(spark, sf_dir: str) -> tuple[float, str]:
     root = os.path.join(ensure_checkpoint_dir(spark), f"bench-layers-{uuid.uuid4().hex[:8]}")
     t0 = time.perf_counter()
-    Warehouse.from_driver(spark, sf_dir).write_layers(root)
+    Warehouse.from_driver(spark, sf_dir).write_layers(root, comment_partitions=spark.sparkContext.defaultParallelism)
     return time.perf_counter() - t0, root
 
 

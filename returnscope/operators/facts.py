@@ -1,4 +1,8 @@
-"""Fact layer and labelling through the small lookup maps (rows 8-10)."""
+"""Fact layer and labelling through the small lookup maps (rows 8-10).
+
+The maps are joined plainly: a written lookup table has an exact size, by which
+the planner broadcasts it, or shuffles above its threshold.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +11,18 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.labels import status_group
-from .joins import broadcast_if_small
 
 
 def fact_orders(orders_clean: DataFrame, order_status: DataFrame) -> DataFrame:
     """Orders with their status id; the inner join drops NULL statuses."""
-    dim = broadcast_if_small(order_status)
-    return orders_clean.join(dim, orders_clean.status == dim.status_name, "inner").select(
+    return orders_clean.join(order_status, orders_clean.status == order_status.status_name, "inner").select(
         "order_id", "user_id", "order_date", "amount", "status_id"
     )
 
 
 def fact_events(events_clean: DataFrame, event_name: DataFrame) -> DataFrame:
     """Events with their event name id (the event id is dropped)."""
-    dim = broadcast_if_small(event_name)
-    return events_clean.join(dim, "event_name", "inner").select("user_id", "event_date", "event_name_id")
+    return events_clean.join(event_name, "event_name", "inner").select("user_id", "event_date", "event_name_id")
 
 
 def status_map(order_status: DataFrame) -> DataFrame:
@@ -38,11 +39,9 @@ def label_orders(
     fact: DataFrame, order_status: DataFrame, paid=C.PAID_STATUSES, refund=C.REFUND_STATUSES
 ) -> DataFrame:
     """Orders with their lower-cased status label and group paid / refund / other."""
-    m = broadcast_if_small(status_map(order_status))
-    return fact.join(m, "status_id", "inner").withColumn("status_group", status_group("st", paid, refund))
+    return fact.join(status_map(order_status), "status_id", "inner").withColumn("status_group", status_group("st", paid, refund))
 
 
 def label_events(fact: DataFrame, event_name: DataFrame) -> DataFrame:
     """Events with their lower-cased event label ``ev``."""
-    m = broadcast_if_small(event_map(event_name))
-    return fact.join(m, "event_name_id", "inner")
+    return fact.join(event_map(event_name), "event_name_id", "inner")

@@ -1,55 +1,27 @@
-"""Join helpers: size-checked broadcast and distributed dense ids."""
+"""Distributed dense ids for lookup dimensions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default row bound for broadcasting a lookup table derived from data.
-BROADCAST_MAX_ROWS = 100_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the plain
-    frame is returned and the planner (with AQE's runtime statistics) picks a
-    shuffled join, splitting skewed partitions if needed.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# Distinct values numbered by one ordered window when there are at most this many.
-LOCAL_IDS_MAX_ROWS = 10_000
-
-
-def dense_ids(
-    values: DataFrame,
-    order_col: str,
-    id_col: str,
-    num_partitions: int | None = None,
-    local_max_rows: int = LOCAL_IDS_MAX_ROWS,
-) -> DataFrame:
+def dense_ids(values: DataFrame, order_col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
     """Attach ids 1..n to the distinct values of ``order_col``, in value order
     (NULL last): ROW_NUMBER() OVER (ORDER BY value) over the distinct values.
 
-    At most ``local_max_rows`` distinct values (checked by counting at most
-    that many + 1) are numbered by one ordered window, a bounded single
-    partition.  Above the bound the work is distributed: range-partition the
-    distinct values, number rows inside each partition, and add the running
-    count of the earlier partitions; only the per-partition counts (one row
-    per partition) are combined globally.
+    The distinct values are range-partitioned (AQE merges small ranges unless
+    ``num_partitions`` fixes their number), numbered inside each partition, and
+    shifted by the running count of the earlier partitions; only those counts
+    (one row per partition) are combined globally.
     """
-    spark = values.sparkSession
-    distinct = values.select(order_col).distinct().cache()
+    from ..sources.files import materialize
+
+    distinct = values.select(order_col).distinct().cache()  # read twice: range sample, then rows
     order = F.col(order_col).asc_nulls_last()
-    if distinct.limit(local_max_rows + 1).count() <= local_max_rows:
-        return distinct.select(F.row_number().over(Window.orderBy(order)).cast("int").alias(id_col), order_col)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = distinct.repartitionByRange(num_partitions, order) if num_partitions else distinct.repartitionByRange(order)
     ranged = (
-        distinct.repartitionByRange(n, order)
-        .sortWithinPartitions(order)
+        ranged.sortWithinPartitions(order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -57,9 +29,8 @@ def dense_ids(
     ranged = ranged.withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
     # the counts and the numbered rows must come from one evaluation (range
     # bounds are sampled): write them once to the checkpoint folder
-    from ..sources.files import materialize
-
     ranged = materialize(ranged, "dense-ids")
+    distinct.unpersist()
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
@@ -67,6 +38,7 @@ def dense_ids(
             F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_off"),
     )
+    # one row per partition
     return ranged.join(F.broadcast(offsets), "_pid").select(
         (F.col("_off") + F.col("_idx") + 1).cast("int").alias(id_col), F.col(order_col)
     )

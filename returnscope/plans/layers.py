@@ -2,8 +2,8 @@
 
 ``Warehouse`` wires the operators together once and hands the same logical
 plans to every analysis, so Catalyst sees one plan per query (no hops through
-Python).  The small lookup dimensions are cached (recomputable from lineage,
-unlike local checkpoints); ``write_layers`` persists every layer as parquet
+Python).  The small lookup dimensions are written once, so that the planner
+knows their exact size; ``write_layers`` persists every layer as parquet
 (drop-and-create), which is how the layers are shared between jobs on a cluster.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import dims, facts, marts, staging
 from ..sources import driver
-from ..sources.files import spread, write_table
+from ..sources.files import materialize, write_table
 
 
 class Warehouse:
@@ -96,11 +96,11 @@ class Warehouse:
 
     @cached_property
     def dim_order_status(self) -> DataFrame:
-        return dims.dim_order_status(self.orders).cache()
+        return materialize(dims.dim_order_status(self.orders), "dim-order-status")
 
     @cached_property
     def dim_event_name(self) -> DataFrame:
-        return dims.dim_event_name(self.events).cache()
+        return materialize(dims.dim_event_name(self.events), "dim-event-name")
 
     # facts
     @cached_property
@@ -129,7 +129,12 @@ class Warehouse:
         return out
 
     def write_layers(
-        self, root: str, with_marts: bool = False, cluster_facts: bool = True, parallel: bool = True
+        self,
+        root: str,
+        with_marts: bool = False,
+        cluster_facts: bool = True,
+        parallel: bool = True,
+        comment_partitions: int | None = None,
     ) -> dict[str, str]:
         """Persist every layer under ``root`` (drop-and-create), level by level:
         staging, dimensions, facts (and the marts when asked).  After each write
@@ -138,26 +143,32 @@ class Warehouse:
         tables of one level do not depend on each other and are written as
         concurrent Spark jobs (``parallel``).
 
-        With ``cluster_facts`` the fact tables are range-partitioned on their
-        timestamp (ties split by a second column) and sorted inside each file,
-        so the date-window analyses skip files and row groups through parquet
-        min / max statistics on their pushed timestamp filters."""
+        With ``cluster_facts`` the fact tables are stored in one folder per
+        status or event name, range-partitioned and sorted by time inside: an
+        analysis of one or two event names reads their folders only (dynamic
+        partition pruning through the lookup map), and date windows skip files
+        and row groups through parquet min / max statistics.  A hot name spreads
+        over as many tasks as its rows ask for (ties split by a second column
+        and a random key).
+
+        ``comment_partitions`` deals the comments out to that many files, for
+        comments that come as a single split."""
         spark = self._spark()
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         levels = [list(level) for level in LAYER_LEVELS]
         if self.comments_raw is not None:
             levels[0].append("comments_raw")
         names = dict(LAYER_TABLES, comments_raw="stg/comments")
-        out = {}
+        out, columns = {}, {}
 
         def write(attr: str) -> tuple[str, str]:
             df = getattr(self, attr)
+            by = []
             if attr == "comments_raw":
-                # a plain scan (no shuffle): spread a single split over the
-                # cluster before the per-token work downstream
-                df = spread(df)
+                df = df.repartition(comment_partitions) if comment_partitions else df
             elif cluster_facts and attr in FACT_CLUSTERING:
                 # a seeded random last key splits rows equal on every column
+                by = FACT_CLUSTERING[attr][:1]
                 keys = [*FACT_CLUSTERING[attr], "_tie"]
                 df = (
                     df.withColumn("_tie", F.rand(17))
@@ -166,11 +177,14 @@ class Warehouse:
                     .drop("_tie")
                 )
             path = os.path.join(root, names[attr])
-            write_table(df, path)
+            columns[attr] = df.columns
+            write_table(df, path, by)
             return attr, path
 
         for level in levels:
             for attr in level:  # build the plans on this thread, run them below
+                if attr in LOOKUPS and attr not in self.__dict__:  # written below, once
+                    self.__dict__[attr] = LOOKUPS[attr](self)
                 getattr(self, attr)
             if parallel and len(level) > 1:
                 with ThreadPoolExecutor(max_workers=len(level)) as pool:
@@ -179,7 +193,7 @@ class Warehouse:
                 done = [write(attr) for attr in level]
             for attr, path in done:
                 out[names[attr]] = path
-                self.__dict__[attr] = spark.read.parquet(path)
+                self.__dict__[attr] = spark.read.parquet(path).select(*columns[attr])
             for derived in ("orders_labelled", "events_labelled"):
                 self.__dict__.pop(derived, None)
         if with_marts:
@@ -191,10 +205,16 @@ class Warehouse:
         return out
 
 
-# Fact tables: range / sort keys when written clustered by time.
+# Lookup dimensions, unwritten: write_layers stores them itself.
+LOOKUPS = {
+    "dim_order_status": lambda w: dims.dim_order_status(w.orders),
+    "dim_event_name": lambda w: dims.dim_event_name(w.events),
+}
+
+# Fact tables when written clustered: folder column, then range / sort keys.
 FACT_CLUSTERING = {
-    "fact_orders": ("order_date", "order_id"),
-    "fact_events": ("event_date", "user_id"),
+    "fact_orders": ("status_id", "order_date", "order_id"),
+    "fact_events": ("event_name_id", "event_date", "user_id"),
 }
 
 # Levels of the layer build: the tables of a level depend only on lower levels.

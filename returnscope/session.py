@@ -86,10 +86,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     would lose the executors' files, so the missing setting is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
+    current = sc.getCheckpointDir()
+    if current:  # setting it again would nest a new folder inside it at every call
+        return current
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)
+        return sc.getCheckpointDir() or named
     if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="returnscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
 from .tables import read_table
 
 # Fixed values of the mapping (FIXTURES.md section 2).
@@ -49,15 +48,15 @@ def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    # nation x region is the 25-row geography; checked before it is broadcast.
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", F.lower("r_name").alias("region")
+    # two lookups of a few rows each, broadcast by the planner from their file sizes
+    located = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").join(
+        region, nation.n_regionkey == region.r_regionkey, "left"
     )
-    base = customer.join(broadcast_if_small(geo, 10_000), customer.c_nationkey == geo.n_nationkey, "left").select(
+    base = located.select(
         F.col("c_custkey").cast("int").alias("user_id"),
         F.date_add(F.lit(REG_DATE_BASE), ((F.col("c_custkey") * 11) % 37).cast("int")).alias("reg_date"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("ANDROID")).otherwise(F.lit("ios")).alias("device"),
-        F.col("region"),
+        F.lower("r_name").alias("region"),
         _case(F.col("c_mktsegment"), SEGMENT_TO_CHANNEL).alias("channel"),
     )
     copies = base.where(F.col("user_id") % DUPLICATE_EVERY == 0).withColumn(

@@ -28,15 +28,6 @@ def read_comments_csv(
     return raw.select(number.alias("comment_id"), ts.alias("comment_date"), "comment")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's default parallelism when it has
-    fewer partitions than that (a small input read as one split); large inputs
-    already have many partitions and pass through without a shuffle.  Meant for
-    scan-only frames, whose partition count is known without running anything."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """DROP + CREATE TABLE AS: overwrite a parquet table."""
     writer = df.write.mode("overwrite")

@@ -2,8 +2,8 @@
 
 usage: python scripts/explain_plans.py [sf_dir] [name ...]
 For each query: shuffles (Exchange), broadcast / sort-merge / nested-loop joins,
-windows and partial window-group limits, cartesian products, and the pushed
-filters of fact-table scans.  Plans are printed before execution (AQE may still
+windows and partial window-group limits, cartesian products, fact scans pruned to
+the folders of some names, and the pushed filters of fact-table scans.  Plans are printed before execution (AQE may still
 turn a sort-merge join into a broadcast at run time).
 """
 
@@ -48,6 +48,7 @@ def summary(df) -> dict:
         "cartesian": count.get("CartesianProduct", 0),
         "windows": count.get("Window", 0),
         "partial_limits": plan.count(", Partial\n"),
+        "pruned_folders": len(re.findall(r"PartitionFilters: .*dynamicpruning", plan)),
         "pushed_date_filters": pushed,
     }
 
@@ -65,6 +66,7 @@ def main() -> None:
         print(
             f"{name:30s} exch={s['exchanges']:2d} bhj={s['bhj']:2d} smj={s['smj']:2d} bnlj={s['bnlj']} "
             f"cart={s['cartesian']} win={s['windows']:2d} partial_wgl={s['partial_limits']} "
+            f"pruned={s['pruned_folders']} "
             f"pushed={'; '.join(f[:90] for f in s['pushed_date_filters'])}"
         )
 

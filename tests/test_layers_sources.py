@@ -54,6 +54,12 @@ def test_no_checkpoint_folder_of_the_driver_on_a_cluster():
         ensure_checkpoint_dir(Session)
 
 
+def test_checkpoint_folder_stays_the_same(spark):
+    from returnscope.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+
+
 def test_stored_layers_give_the_same_marts(spark, tmp_path):
     raw = Warehouse.from_driver(spark, SF, C.DRIVER_PARAMS)
     expected = rows(marts.marts_kpi_daily(raw.orders_labelled, raw.events_labelled))
@@ -64,6 +70,22 @@ def test_stored_layers_give_the_same_marts(spark, tmp_path):
     assert rows(spark.read.parquet(written["marts/marts_kpi_daily"])) == expected
 
 
+def test_stored_facts_are_pruned_by_name(spark, tmp_path):
+    import contextlib
+    import io
+    import re
+
+    from returnscope.plans.registry import RUNNERS
+
+    Warehouse.from_driver(spark, SF, C.DRIVER_PARAMS).write_layers(str(tmp_path / "layers"))
+    stored = Warehouse.from_layers(spark, str(tmp_path / "layers"), C.DRIVER_PARAMS)
+    for name in ("cart_dropoff", "rr_by_registration_cohort"):
+        text_of = io.StringIO()
+        with contextlib.redirect_stdout(text_of):
+            RUNNERS[name](stored).explain("formatted")
+        assert re.search(r"PartitionFilters: .*event_name_id.*dynamicpruning", text_of.getvalue()), name
+
+
 def test_materialize_cuts_lineage(spark):
     df = spark.range(10).selectExpr("id", "id * 2 AS twice")
     m = materialize(df, "twice")

@@ -89,7 +89,7 @@ def test_dims_and_facts(spark):
 def test_dense_ids_across_partitions(spark):
     df = spark.createDataFrame([(s,) for s in ["refunded", "paid", "pending", None, "paid", "b", "z"]], "status string")
     expected = [(1, "b"), (2, "paid"), (3, "pending"), (4, "refunded"), (5, "z"), (6, None)]
-    assert rows(dense_ids(df, "status", "id", num_partitions=3, local_max_rows=2), "id", "status") == expected
+    assert rows(dense_ids(df, "status", "id", num_partitions=3), "id", "status") == expected
     assert rows(dense_ids(df, "status", "id"), "id", "status") == expected
 
 
