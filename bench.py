@@ -45,6 +45,7 @@ HEADLINE = [
     "key_violations",
     "clean_text",
     "tfidf",
+    "kmeans_assign",
 ]
 
 

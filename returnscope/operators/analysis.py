@@ -232,6 +232,24 @@ def funnel_by_month(labelled_events: DataFrame, months: list[dt.date] | None = N
     )
 
 
+def funnel_month_change(
+    labelled_events: DataFrame, before: dt.date, after: dt.date, steps=C.FUNNEL_STEPS
+) -> DataFrame:
+    """Row 39 as the dashboard shows it: per funnel %, its value in the month
+    of ``before``, in the month of ``after``, and the difference in points.  A
+    month without funnel events gives NULL."""
+    months = {"before": before.replace(day=1), "after": after.replace(day=1)}
+    by_month = funnel_by_month(labelled_events, list(months.values()), steps)
+    names = [name for name, _, _ in FUNNEL_METRICS]
+    one = by_month.agg(
+        *[F.max(F.when(F.col("month") == F.lit(m), F.col(n))).alias(f"{n}__{side}") for n in names for side, m in months.items()]
+    )
+    rows = F.array(
+        *[F.struct(F.lit(n).alias("metric"), F.col(f"{n}__before").alias("before"), F.col(f"{n}__after").alias("after")) for n in names]
+    )
+    return one.select(F.inline(rows)).withColumn("diff", F.round(F.col("after") - F.col("before"), 2))
+
+
 def _month_end(m: dt.date) -> dt.date:
     nxt = m.replace(year=m.year + 1, month=1) if m.month == 12 else m.replace(month=m.month + 1)
     return nxt - dt.timedelta(days=1)

@@ -7,6 +7,7 @@ parameters (release 2024-01-16; FIXTURES.md).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import analysis, marts, quality, text
+from ..operators.joins import dense_ids
 from ..session import configure, ensure_checkpoint_dir
+from ..sources import driver
+from ..sources.files import materialize
 from .layers import Warehouse
 
 P = C.DRIVER_PARAMS
@@ -43,18 +47,55 @@ def _clusters(w: Warehouse):
     comments = text.with_doc_key(comments).checkpoint()
     n = comments.count()
     feats, vocab = text.tfidf_vectors(comments, C.TFIDF_MAX_FEATURES, n_docs=n)
-    return comments, feats.checkpoint(), n
+    return comments, feats.checkpoint(), vocab, n
 
 
 def _assigned(w: Warehouse):
-    comments, feats, n = _clusters(w)
-    return comments, text.kmeans_assign(feats, C.KMEANS_K, C.KMEANS_SEED), n
+    _, feats, _, _ = _clusters(w)
+    return text.kmeans_assign(feats, C.KMEANS_K, C.KMEANS_SEED)
 
 
 def _top_terms(w: Warehouse):
-    comments, assigned, n = _assigned(w)
+    _, feats, vocab, _ = _clusters(w)
+    return text.centre_top_terms(text.kmeans_fit(feats, C.KMEANS_K, C.KMEANS_SEED), vocab, C.TOP_TERMS)
+
+
+def _kmeans_checks(w: Warehouse):
+    comments, feats, vocab, n = _clusters(w)
     weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, n_docs=n, keep_doc_key=True)
-    return text.cluster_top_terms(weights, assigned, C.TOP_TERMS)
+    checks = text.kmeans_checks(feats, materialize(weights, "kmeans-weights"), vocab, C.KMEANS_K_RANGE, C.KMEANS_SEED)
+    # the fit stops when no centre moves by its tolerance
+    return checks.select("k", "comments", "misplaced", (F.col("inertia_gap") < 1e-2).alias("inertia_agrees"))
+
+
+def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmatised comments, their clusters given: the sources, numbered in order of name."""
+    configure(spark)
+    comments = text.comments_in_range(driver.comments_by_source(spark, sf_dir), P.comment_range)
+    comments = text.with_doc_key(materialize(comments, "comments-by-source"))
+    numbers = materialize(dense_ids(comments, "source", "cluster"), "sources")
+    return materialize(text.lemmatised(comments.join(numbers, "source")), "lemmas-by-source")
+
+
+def _silhouette_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = text.tfidf_vectors(_by_source(spark, sf_dir), C.TFIDF_MAX_FEATURES, keep=("cluster",))
+    return text.silhouette(feats).withColumn("silhouette", F.round("silhouette", 8))
+
+
+def _top_terms_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comments = _by_source(spark, sf_dir)
+    weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, keep_doc_key=True)
+    top = text.cluster_top_terms(weights, comments, C.TOP_TERMS)
+    return top.withColumn("weight", F.round("weight", 10))
+
+
+def _examples_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.cluster_examples(_by_source(spark, sf_dir), C.EXAMPLES_PER_CLUSTER)
+
+
+def _two_months(w: Warehouse) -> DataFrame:
+    moved = Warehouse(w.users_raw, w.orders_raw, driver.over_two_months(w.events_raw), None, P)
+    return analysis.funnel_month_change(moved.events_labelled, P.release, (P.release.replace(day=1) + dt.timedelta(days=31)))
 
 
 def _wl(f):
@@ -126,10 +167,11 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     # weights and p-values are compared to 10 decimals: last bits depend on summation order
     "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES).withColumn("weight", F.round("weight", 10)),
     "kmeans_elbow": lambda w: text.kmeans_elbow(_clusters(w)[1], C.KMEANS_K_RANGE, C.KMEANS_SEED),
-    "kmeans_assign": lambda w: _assigned(w)[1].select("comment_id", "cluster"),
-    "silhouette": lambda w: text.silhouette(_assigned(w)[1]),
+    "kmeans_assign": lambda w: _assigned(w).select("comment_id", "cluster"),
+    "silhouette": lambda w: text.silhouette(_assigned(w)),
     "cluster_top_terms": lambda w: _top_terms(w),
-    "cluster_examples": lambda w: text.cluster_examples(_assigned(w)[1], C.EXAMPLES_PER_CLUSTER),
+    "cluster_examples": lambda w: text.cluster_examples(_assigned(w), C.EXAMPLES_PER_CLUSTER),
+    "kmeans_checks": _kmeans_checks,
     # checks and dashboard tiles (rows 36-40)
     "key_violations": _key_violations,
     "kpi_totals": lambda w: quality.kpi_totals(w.orders_labelled, w.events_labelled, P.kpi_range),
@@ -137,13 +179,18 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rr_by_region": lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "region", P.release),
     "rr_by_channel": lambda w: analysis.rr_by_dimension(w.orders_labelled, w.users, "channel", P.release),
     "funnel_by_month": lambda w: analysis.funnel_by_month(w.events_labelled),
+    "funnel_month_change": _two_months,
     "top_rr_growth": lambda w: analysis.top_rr_growth(_segment_ab(w), P.top_n),
 }
 
 # Queries that need the raw tables (not available on a layer-backed warehouse).
-RAW_ONLY = ("key_violations",)
+RAW_ONLY = ("key_violations", "funnel_month_change")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _wl(f) for name, f in RUNNERS.items()}
+# rows 33-35 over a given grouping (the documents' source)
+QUERIES["silhouette_by_source"] = _silhouette_by_source
+QUERIES["cluster_top_terms_by_source"] = _top_terms_by_source
+QUERIES["cluster_examples_by_source"] = _examples_by_source
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -115,13 +115,30 @@ def events_raw(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFra
     return base.unionByName(extra).drop("_key")
 
 
+def over_two_months(events: DataFrame) -> DataFrame:
+    """Raw events with odd ids moved 31 days on (all driver events fall in one month)."""
+    later = F.col("event_date") + F.expr("INTERVAL 31 DAY")
+    return events.withColumn("event_date", F.when(F.col("event_id").cast("long") % 2 == 1, later).otherwise(F.col("event_date")))
+
+
+def comments_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comments with ``source`` of their document (NULL: empty), a given
+    grouping for the cluster reports."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    return _as_comments(docs, F.coalesce("source", F.lit("")).alias("source"))
+
+
 def comments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as customer comments (comment_id, comment_date, comment)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return _as_comments(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def _as_comments(docs: DataFrame, *more) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("comment_id"),
         F.date_add(F.lit(COMMENT_DATE_BASE), (F.col("doc_id") % 25).cast("int")).cast("timestamp_ntz").alias("comment_date"),
         F.col("text").alias("comment"),
+        *more,
     )
 
 

@@ -23,7 +23,7 @@ from returnscope.plans.registry import RAW_ONLY, RUNNERS  # noqa: E402
 from returnscope.session import ensure_checkpoint_dir, local_session  # noqa: E402
 
 # Queries that fit K-Means (iterative jobs) while their plan is built.
-FITS_MODEL = {"kmeans_elbow", "kmeans_assign", "silhouette", "cluster_top_terms", "cluster_examples"}
+FITS_MODEL = {"kmeans_elbow", "kmeans_assign", "silhouette", "cluster_top_terms", "cluster_examples", "kmeans_checks"}
 
 
 def summary(df) -> dict:

@@ -290,6 +290,14 @@ def test_kpi_totals_and_funnel_by_month(spark):
     }
     m = rows(analysis.funnel_by_month(w.events_labelled))
     assert m == [(D("2025-05-01"), 100.0, 0.0, None), (D("2025-06-01"), 0.0, None, 0.0)]
+    change = analysis.funnel_month_change(w.events_labelled, D("2025-05-15"), D("2025-06-01")).collect()
+    assert {r.metric: (r.before, r.after, r.diff) for r in change} == {
+        "conv_cart_to_checkout_pct": (100.0, 0.0, -100.0),
+        "conv_checkout_to_payment_pct": (0.0, None, None),
+        "refund_after_payment_pct": (None, 0.0, None),
+    }
+    none = analysis.funnel_month_change(w.events_labelled, D("2024-01-01"), D("2024-02-01")).collect()
+    assert len(none) == 3 and all(r.before is None and r.after is None and r.diff is None for r in none)
 
 
 def test_asof_single_hot_instant_is_split(spark):
