@@ -162,7 +162,8 @@ class Warehouse:
         out, columns = {}, {}
 
         def write(attr: str) -> tuple[str, str]:
-            df = getattr(self, attr)
+            lookup = attr in LOOKUPS and attr not in self.__dict__  # numbered and written once, here
+            df = LOOKUPS[attr](self) if lookup else getattr(self, attr)
             by = []
             if attr == "comments_raw":
                 df = df.repartition(comment_partitions) if comment_partitions else df
@@ -183,9 +184,8 @@ class Warehouse:
 
         for level in levels:
             for attr in level:  # build the plans on this thread, run them below
-                if attr in LOOKUPS and attr not in self.__dict__:  # written below, once
-                    self.__dict__[attr] = LOOKUPS[attr](self)
-                getattr(self, attr)
+                if attr not in LOOKUPS:
+                    getattr(self, attr)
             if parallel and len(level) > 1:
                 with ThreadPoolExecutor(max_workers=len(level)) as pool:
                     done = list(pool.map(write, level))
