@@ -8,13 +8,16 @@ domains: every document belongs to all domains, softly.
 
 Rates: with n_i the tokens of document i and p_i its posteriors, the rates
 r_i >= 0 minimise the squared distance between the expected domain totals
-sum_i r_i n_i p_i and target weight times all tokens, by projected gradient
-steps from r = 1 in the metric of the tokens:
-r_i <- max(0, r_i - step * p_i . gradient), step = 1 / largest eigenvalue of
-sum_i n_i p_i p_i'.  Documents of one cell get equal steps, so each iteration
-is an aggregate over the token sums of the cells: at most BINS**4 rows,
-whatever the corpus, made by one pre-aggregated pass over all documents.  Only
-domain totals reach the driver.
+sum_i r_i n_i p_i and target weight times all tokens.  A ridge
+e * sum_i n_i (r_i - 1)^2 is added, whose minimum is r_i = max(0, 1 + p_i . v)
+with one vector v over the domains, found by Newton steps; it shrinks tenfold
+a step, from ``RIDGE`` on with the last rates in place of 1 (proximal points),
+until a dual bound proves that the domain totals lie within
+``tolerance`` of all tokens of the exact least-squares optimum.  If that is not
+reached, an error is raised.  Documents of one cell get equal rates, so the
+fit needs the token sums of the cells only: at most BINS**4 rows, whatever the
+corpus, made by one pre-aggregated pass over all documents.  They are all that
+reaches the driver.
 
 Defined results: null and empty texts have no tokens and fall into the cell of
 zero statistics; documents without a label, and labels without a document, are
@@ -34,6 +37,7 @@ from returnscope.llm.common import written
 
 BINS = 8
 STATISTICS = 4
+RIDGE, LEAST = 1e-9, 1e-13  # ridge from which on steps are kept, and the least one; shares of all tokens
 _SYMBOLS = "#$%&*!|@<>{}[]\\\\/=+~^_"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -89,13 +93,60 @@ def _posteriors(rows: DataFrame, labels: DataFrame) -> tuple[list[str], Column]:
     return names, F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
 
 
+def _newton(n: np.ndarray, p: np.ndarray, goal: np.ndarray, base: np.ndarray, ridge: float, v: np.ndarray, steps: int = 200) -> np.ndarray:
+    """The v at which the totals of the rates max(0, base + p v), plus ridge * v, are the goal."""
+
+    def value(v: np.ndarray) -> float:
+        return float(n @ np.maximum(0.0, base + p @ v) ** 2 + ridge * v @ v) / 2 - float(goal @ v)
+
+    for _ in range(steps):
+        rate = np.maximum(0.0, base + p @ v)
+        slope = p.T @ (n * rate) + ridge * v - goal
+        if np.abs(slope).max() <= 1e-14:
+            break
+        on = rate > 0
+        move = -np.linalg.solve((p[on] * n[on, None]).T @ p[on] + ridge * np.eye(len(v)), slope)
+        now, size = value(v), 1.0
+        while size > 1e-10 and value(v + size * move) > now + 1e-4 * size * float(slope @ move):
+            size /= 2
+        if size <= 1e-10:
+            break  # no descent beyond rounding
+        v = v + size * move
+    return v
+
+
+def least_squares(n: np.ndarray, p: np.ndarray, goal: np.ndarray, iterations: int = 30, tolerance: float = 1e-4) -> list[list[float]]:
+    """Vectors v whose steps r <- max(0, r + p v) lead from 1 to the rates (see the module); tokens and goals as shares of all tokens.
+
+    With w = goal - totals, lowered in all domains until no cell could still
+    gain, goal . w - w . w / 2 bounds the least half squared error from below,
+    and the totals are off the optimum's by the root of twice the rest at most.
+    """
+    steps: list[list[float]] = []
+    base, v, ridge = np.ones(len(n)), np.zeros(len(goal)), 1.0
+    for _ in range(iterations):
+        v = _newton(n, p, goal, base, ridge, v)
+        rate = np.maximum(0.0, base + p @ v)
+        left = goal - p.T @ (n * rate)
+        w = left - max(0.0, float((p[n > 0] @ left).max()))
+        gap = float(left @ left + w @ w) / 2 - float(goal @ w)
+        done = 2 * gap <= tolerance**2
+        if done or ridge <= RIDGE * 1.5:
+            steps.append(v.tolist())
+            base = rate
+        if done:
+            return steps
+        ridge = max(ridge / 10, LEAST)
+    raise RuntimeError(f"rates not within {tolerance} of the least-squares optimum after {iterations} steps (bound {math.sqrt(2 * gap):.2g})")
+
+
 def _stepped(steps: list[list[float]], domains: int) -> Column:
     """The rate after some projected steps of p, from 1."""
     if not steps:
         return F.lit(1.0)
     moves = F.array(*(F.array(*map(F.lit, s)) for s in steps))
     dot = lambda m: sum((F.get("p", F.lit(d)) * F.get(m, F.lit(d)) for d in range(domains)), F.lit(0.0))
-    return F.aggregate(moves, F.lit(1.0), lambda r, m: F.greatest(F.lit(0.0), r - dot(m)))
+    return F.aggregate(moves, F.lit(1.0), lambda r, m: F.greatest(F.lit(0.0), r + dot(m)))
 
 
 def mix_to_targets(
@@ -104,30 +155,21 @@ def mix_to_targets(
     """doc_id, n_tokens, domains (posterior by name), rate of every row.
 
     ``targets``: weight by domain, scaled to one; equal weights if not given.
-    Stops after ``iterations`` steps, or when no domain is off its target by
-    more than ``tolerance`` of all tokens.
+    ``iterations``: ridges and proximal steps at most.  ``tolerance``: distance of the domain
+    totals from the exact optimum, as a share of all tokens.
     """
     bins = [f"b{i}" for i in range(STATISTICS)]
     rows = written(cells(docs), "cells")
     names, posterior = _posteriors(rows, labels)
     k = len(names)
     sums = written(rows.groupBy(*bins).agg(F.sum("n_tokens").alias("n")).select(*bins, "n", posterior.alias("p")), "sums")
-
-    def totals(value: Column) -> list[float]:
-        got = sums.agg(*(F.sum(value * F.col("n") * F.get("p", F.lit(d))) for d in range(k))).first()
-        return [x or 0.0 for x in got]
-
-    gram = sums.agg(*(F.sum(F.col("n") * F.get("p", F.lit(a)) * F.get("p", F.lit(b))) for a in range(k) for b in range(k))).first()
-    largest = float(np.linalg.eigvalsh(np.array([x or 0.0 for x in gram]).reshape(k, k))[-1])
+    got = sums.select("n", "p").collect()  # at most BINS**4 rows
+    total = float(sum(r["n"] for r in got))
     weight = np.array([(targets or dict.fromkeys(names, 1.0)).get(x, 0.0) for x in names])
-    total = float(sum(totals(F.lit(1.0))))
-    goal = total * weight / weight.sum() if weight.sum() > 0 else np.zeros(k)
     steps: list[list[float]] = []
-    while largest > 0 and len(steps) < iterations:
-        gradient = np.array(totals(_stepped(steps, k))) - goal
-        if math.isclose(total, 0) or np.abs(gradient).max() <= tolerance * total:
-            break
-        steps.append((gradient / largest).tolist())
+    if total > 0:
+        goal = weight / weight.sum() if weight.sum() > 0 else np.zeros(k)
+        steps = least_squares(np.array([r["n"] / total for r in got]), np.array([r["p"] for r in got]), goal, iterations, tolerance)
     rates = sums.select(*bins, "p", _stepped(steps, k).alias("rate"))
     named = F.map_from_arrays(F.array(*map(F.lit, names)), F.col("p"))
     # at most BINS**4 rows of a few numbers

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -296,3 +297,39 @@ def test_arrow_slices_keep_all_rows():
     assert [x for p in parts for x in p.column("i").to_pylist()] == list(range(7)) and len(parts) > 2
     buf, off = text_buffers(parts[-1].column("text"))
     assert strings(buf, off).to_pylist() == [t or "" for t in parts[-1].column("text").to_pylist()]
+
+
+def test_mixing_totals_are_the_least_squares_optimum():
+    r = np.random.default_rng(4)
+    for domains, sharp in ((2, 0.3), (3, 0.3), (4, 5.0)):
+        for _ in range(6):
+            p = r.dirichlet([sharp] * domains, 14)
+            n = r.uniform(0, 1, 14) * (r.random(14) < 0.8)
+            n /= n.sum()
+            goal = r.dirichlet([0.5] * domains)
+            best, least = None, np.inf  # an optimum stands on at most as many cells as there are domains
+            for size in range(1, domains + 1):
+                for some in itertools.combinations(np.flatnonzero(n), size):
+                    a = p[list(some)].T * n[list(some)]
+                    x = np.linalg.lstsq(a, goal, rcond=None)[0]
+                    if (x >= 0).all() and np.sum((a @ x - goal) ** 2) < least:
+                        best, least = a @ x, np.sum((a @ x - goal) ** 2)
+            rate = np.ones(14)
+            for v in mixing.least_squares(n, p, goal):
+                rate = np.maximum(0, rate + p @ v)
+            assert np.linalg.norm(p.T @ (n * rate) - best) <= 1e-4
+
+
+def test_mixing_of_hardly_separable_domains(spark):
+    """Two statistics cells, one domain rare in both: 30 gradient steps leave it far below what is reachable."""
+    docs = [(i, "plain words in a row of text " * 5, None, "s", 1) for i in range(60)] + [(100 + i, "$$$ LOUD %%% " * 8, None, "s", 1) for i in range(20)]
+    docs = spark.createDataFrame(docs, SCHEMA)
+    labels = [(i, 1, int(i < 2)) for i in range(40)] + [(100 + i, 1, int(i < 4)) for i in range(15)]
+    rows = mixing.mix_to_targets(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    total = sum(r.n_tokens for r in rows)
+    got = [sum(r.rate * r.n_tokens * r.domains[f"quality1_toxic{d}"] for r in rows) for d in (0, 1)]
+    ends = np.array(sorted({tuple(r.domains[f"quality1_toxic{d}"] for d in (0, 1)) for r in rows}))
+    assert len(ends) == 2
+    # totals reach the cone of the two cells' posteriors: the nearest point is on its edge
+    best = min(np.sum((p * (p.sum() / 2 / (p @ p)) - 0.5) ** 2) for p in ends)
+    assert min(np.linalg.solve(ends.T, [0.5, 0.5])) < 0 and sum((x / total - 0.5) ** 2 for x in got) <= best + 1e-4
