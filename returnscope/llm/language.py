@@ -13,7 +13,8 @@ language, those with the smallest hash of doc_id, and of their pre-tokens the
 driver.  A task scores each distinct pre-token once while it stays in a cache
 of bounded size.
 
-Pre-tokens are runs of ASCII letters and of bytes of other scripts, lowered.
+Pre-tokens are runs of ASCII letters and of bytes of other scripts, lowered,
+cut every 64 bytes.
 Defined results: null texts and texts without a letter are ``und`` with score
 0; if nothing could be learned, every text is ``und`` with score 0; ties go to
 the smaller language name.
@@ -35,6 +36,7 @@ from returnscope.llm.common import slices, small_batches, text_buffers
 from returnscope.llm.quality import held_out
 
 FLOOR = np.log(1e-7)  # a byte outside the pieces
+CUT = 64  # bytes of a pre-token
 SMOOTHING = 0.1
 LETTERS = np.zeros(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
@@ -112,7 +114,7 @@ def pre_tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Lowered bytes, and starts, ends and text number of all pre-tokens."""
     low = W.LOWER[_BLANK[buf]]
     starts, ends, first = W.split(low, off)
-    s, e, run = P.cut_long(starts, ends)
+    s, e, run = P.cut_long(starts, ends, CUT)
     return low, s, e, np.repeat(np.arange(len(off) - 1), np.diff(first))[run]
 
 

@@ -269,6 +269,35 @@ def test_token_counts_equal_brute_force(spark, corpus):
     assert {r.doc_id: (r.n_words, r.n_tokens) for r in tokens.count_tokens(make_docs(spark, corpus)).collect()} == want
 
 
+def test_long_words_are_counted_whole(spark):
+    vocabulary = pieces.read_pieces()
+    score, floor = tokens.scores(vocabulary)
+    table = dict(zip(vocabulary, score, strict=True))
+
+    def best(word):
+        x = bytes([pieces.MARK]) + word
+        at = [(0.0, 0)]
+        for e in range(1, len(x) + 1):
+            found = [(at[e - 1][0] + floor, at[e - 1][1] + 1)]
+            found += [(at[s][0] + table[x[s:e]], at[s][1] + 1) for s in range(max(0, e - 64), e) if x[s:e] in table]
+            top = max(v for v, _ in found)
+            at.append(min(((v, n) for v, n in found if v > top - 1e-9), key=lambda z: z[1]))
+        return at[-1][1]
+
+    r = random.Random(11)
+    texts = ["".join(r.choice(x) for _ in range(n)) for x, n in (("日本語中国文字化的是不了人我在有他这", 500), ("абвгдежзиклмнопрстуя", 660), ("http://example.org/a?b=c&index", 125), ("AZaz09+/", 5000), ("the of in ion er", 300))]
+    texts += ["b" * 64, "b" * 65, "é" * 40, "\x01a" * 50]
+    docs = [(i, t) for i, t in enumerate([*texts, " ".join(texts), None])]
+    want = {i: sum(best(w) for w in (t or "").encode().split()) for i, t in docs}
+    assert {x.doc_id: x.n_tokens for x in tokens.count_tokens(make_docs(spark, docs)).collect()} == want
+    words_ = [w for t in texts for w in t.encode().split()]
+    ends = np.cumsum([len(w) for w in words_])
+    model = pieces.Vocabulary(vocabulary)
+    for step in (7, 50, 1 << 14):
+        got = tokens.stream_counts(np.frombuffer(b"".join(words_), np.uint8), ends - [len(w) for w in words_], ends, model, score, floor, step)
+        assert got.tolist() == [best(w) for w in words_]
+
+
 def test_mixing_reaches_targets(spark):
     good = [(i, "plain words in a row of text " * 5, None, "s", 1) for i in range(60)]
     bad = [(100 + i, "$$$ ### LOUD %%% &&& " * 8, None, "s", 1) for i in range(20)]
