@@ -10,7 +10,12 @@ the one that holds the main text is taken for the host: an article or main
 element if the class has one, else the slot with most paragraph text outside
 menus, adverts and the like.  The remaining slots (menus, headers, footers,
 sidebars, notices, adverts, forms, reader comments) are dropped, and every
-page's text is read from its main slot.  A page without the slot (a host with
+page's text is read from its main slot.  Class, id and role words mark an
+element as such a slot by whole words, or compounds of such words and words
+for parts of a page; they never count for body, main and article, nor for the
+elements around the main slot: a marked element can hold the main slot if it
+is named and has more text than the unmarked ones, or if nothing else has
+text.  A page without the slot (a host with
 one page, another template) is read by the same rule from itself.
 
 Vectors are never laid out: a token carries the xor of a hash per (page,
@@ -18,7 +23,7 @@ count), the number of its pages and its total, all of which are partial
 aggregates, so a host with a third of all pages is a handful of rows per task
 before any shuffle.  One path per host comes out; it is broadcast if there are
 at most ``broadcast_hosts`` of them (counted first), else joined with the hosts
-salted.
+salted.  Paths travel as 128-bit hashes, so their length does not matter.
 
 Blocks: text of block elements, entities decoded, white space runs turned into
 one space, trimmed, empty blocks left out, joined by newlines in page order.
@@ -59,6 +64,11 @@ MARKED = frozenset(
     "comment comments commentlist discussion respond promo promotion sponsor sponsored newsletter subscribe subscription signup login "
     "footer header masthead toolbar pagination pager skip contentinfo complementary search alert disqus outbrain taboola".split()
 )
+#: Words that form a mark together with one of MARKED ("ad-slot", "share-buttons"); "no-sidebar" or "tag-search" are none.
+PARTS = frozenset(
+    "slot box container wrapper wrap block unit widget area list bar panel section inner outer left right top bottom primary secondary "
+    "main site page global item items button buttons link links icon icons form text message toggle first last".split()
+)
 MAIN = frozenset("article content post entry story main maincontent articlebody postbody".split())
 CLOSES = {  # an opening tag that ends an open element of these
     **dict.fromkeys(BLOCK - {"body", "html"}, frozenset({"p"})),
@@ -73,6 +83,17 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
+MARK = "!"  # among the words of a path's element: marked as no part of the article
+NEVER_MARKED = frozenset("html body main article".split())
+
+
+def _marks(value: str) -> bool:
+    """Whether a word of a class, id or role marks its element."""
+    for token in value.split():
+        words = WORD.findall(token)
+        if not MARKED.isdisjoint(words) and all(w in MARKED or w in PARTS for w in words):
+            return True
+    return False
 
 
 class Page:
@@ -81,8 +102,8 @@ class Page:
     def __init__(self, source: str):
         self.count: dict[str, int] = {}
         self.weight: dict[str, int] = {}  # text in paragraphs, by the path around them
-        self.blocks: list[tuple[tuple[str, ...], bool, str]] = []  # paths around the block, dropped, text
-        stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, dropped
+        self.blocks: list[tuple[tuple[str, ...], int, bool, str]] = []  # paths around the block, those down to its last mark, dropped, text
+        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, dropped, marked
         text: list[str] = []
 
         def flush() -> None:
@@ -91,10 +112,14 @@ class Page:
                 text.clear()
                 if line:
                     paths = tuple(x[1] for x in stack[1:] if x[0] in BLOCK)
-                    out = any(x[2] for x in stack)
-                    self.blocks.append((paths, out, line))
+                    out, side, depth = any(x[2] for x in stack), 0, 0
+                    for x in stack[1:]:
+                        depth += x[0] in BLOCK
+                        if x[3]:
+                            side = depth + (x[0] not in BLOCK)
+                    self.blocks.append((paths, side, out, line))
                     if not out and stack[-1][0] not in ("a", "li"):
-                        for i, p in enumerate(paths):
+                        for i, p in enumerate(paths[max(side - 1, 0) :], max(side - 1, 0)):
                             self.weight[p] = self.weight.get(p, 0) + len(line) * (i + 1)
 
         def close(depth: int) -> None:
@@ -139,15 +164,18 @@ class Page:
             elif tag == "br":
                 text.append(" ")
             words: list[str] = []
+            marked = False
             for name, a, b, c in ATTRIBUTE.findall(attributes) if "=" in attributes else ():
-                words += WORD.findall((a or b or c).lower())
-            label = ".".join([tag, *sorted(set(words))])
+                value = (a or b or c).lower()
+                words += WORD.findall(value)
+                marked = marked or tag not in NEVER_MARKED and _marks(value)
+            label = ".".join([tag, *([MARK] if marked else ()), *sorted(set(words))])
             path = f"{stack[-1][1]}>{label}" if tag in BLOCK or tag in DROPPED else stack[-1][1]
             if path != stack[-1][1]:
                 self.count[path] = self.count.get(path, 0) + 1
             if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
                 continue
-            stack.append((tag, path, tag in DROPPED or not MARKED.isdisjoint(words)))
+            stack.append((tag, path, tag in DROPPED, marked))
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
                 at = stop.end() if stop else end
@@ -170,17 +198,29 @@ def _rank(path: str) -> int:
 
 
 def _usable(path: str) -> bool:
-    return not any(x.split(".")[0] in DROPPED or not MARKED.isdisjoint(x.split(".")[1:]) for x in path.split(">"))
+    return not any(x.split(".")[0] in DROPPED for x in path.split(">"))
+
+
+def _tier(path: str) -> int:
+    """2: named and not marked, 1: one of both, 0: marked and not named."""
+    return int(_rank(path) > 0) + int(not any(MARK in x.split(".")[1:2] for x in path.split(">")))
+
+
+def _key(path: str) -> str:
+    return xxhash.xxh3_128_hexdigest(path)
 
 
-def main_text(page: Page, slot: str | None) -> str:
-    """The blocks in the slot, or in the page's own best element if it has none."""
-    if slot is None or slot not in page.count:
+def main_text(page: Page, key: str | None) -> str:
+    """The blocks in the slot of this key, or in the page's own best element if it has none."""
+    slot = next((p for p in page.count if _key(p) == key), None) if key else None
+    if slot is None:
         own = [p for p in page.count if _usable(p) and p in page.weight]
-        named = [p for p in own if _rank(p)]
-        slot = max(named, key=lambda p: (_rank(p), page.weight[p], p), default=None)
-    inside = [line for paths, out, line in page.blocks if not out and (slot is None or slot in paths)]
-    return "\n".join(inside)
+        slot = max(own, key=lambda p: (_tier(p) == 2, _tier(p), _rank(p) if _tier(p) == 2 else 0, page.weight[p], p), default=None)
+        if slot is not None and not _rank(slot):
+            slot = None  # nothing is named: the whole page
+    inside = [(side > (paths.index(slot) + 1 if slot else 0), line) for paths, side, out, line in page.blocks if not out and (slot is None or slot in paths)]
+    kept = [line for marked, line in inside if not marked]
+    return "\n".join(kept or [line for _, line in inside])  # marks do not count where they take all text
 
 
 def host_of(url: str | None) -> str:
@@ -195,7 +235,7 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def host_slots(pages: DataFrame) -> DataFrame:
-    """host, slot: the path of the main text in each host's template."""
+    """host, slot: the key of the main text's path in each host's template."""
     small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,17 +274,19 @@ def host_slots(pages: DataFrame) -> DataFrame:
         for batch in batches:
             paths = batch.column("path").to_pylist()
             rank = [_rank(p) if p and _usable(p) else -1 for p in paths]
-            yield pa.record_batch([batch.column("host"), batch.column("path"), batch.column("pages"), batch.column("weight"), pa.array(rank, pa.int32())], names=["host", "path", "pages", "weight", "rank"])
+            tier, key = [_tier(p) for p in paths], [_key(p) for p in paths]
+            columns = [batch.column(c) for c in ("host", "path", "pages", "weight")]
+            yield pa.record_batch([*columns, pa.array(rank, pa.int32()), pa.array(tier, pa.int32()), pa.array(key, pa.string())], names=["host", "path", "pages", "weight", "rank", "tier", "key"])
 
-    slots = tokens.join(valid, vector).select("host", "path", "pages", "weight").mapInArrow(pick, "host string, path string, pages long, weight long, rank int")
-    best = F.max_by("path", F.struct((F.col("rank") > 0).cast("int"), "pages", "rank", "weight", "path"))
+    slots = tokens.join(valid, vector).select("host", "path", "pages", "weight").mapInArrow(pick, "host string, path string, pages long, weight long, rank int, tier int, key string")
+    best = F.max_by("key", F.struct("tier", "pages", F.when(F.col("tier") == 2, F.col("rank")).otherwise(0), "weight", "path"))
     return slots.filter("rank >= 0 AND weight > 0").groupBy("host").agg(best.alias("slot"), F.max("rank").alias("named")).select("host", "slot")
 
 
 def extract(pages: DataFrame, broadcast_hosts: int = 100_000, salts: int = 64) -> DataFrame:
     """page_id, url, text, n_chars of every page (see the module)."""
-    slots = written(host_slots(pages).filter(F.length("slot") <= 1000), "slots")
-    few = slots.limit(broadcast_hosts + 1).count() <= broadcast_hosts  # 1.3 kB a host at most
+    slots = written(host_slots(pages), "slots")
+    few = slots.limit(broadcast_hosts + 1).count() <= broadcast_hosts  # 32 bytes and its name a host
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = _pages(pages).withColumn("host", host)
     if few:

@@ -72,6 +72,26 @@ def test_template_extraction(spark):
     assert template.extract(pages.limit(0)).count() == 0
 
 
+def test_class_words_do_not_drop_the_article(spark):
+    side = "<div class='sidebar'><p>side words</p></div><div class='ad-slot'><p>buy</p></div>"
+    article = "<p>first words of page {n}</p><p>second words</p>"
+    want = "first words of page {n}\nsecond words"
+    shapes = [
+        f"<body class='page no-sidebar'><article>{article}</article>{side}</body>",
+        f"<body class='comments-open post sidebar'><main class='main-content with-sidebar'>{article}{side}</main></body>",
+        f"<body><div class='has-sidebar layout'><article class='post category-social tag-search'>{article}</article></div>{side}</body>",
+        f"<body><div class='sidebar layout'><article class='post social'>{article}</article></div></body>",
+        f"<body><section class='discussion'>{article}</section></body>",
+        f"<body><article><div class='entry-header'><p>first words of page {{n}}</p></div><p>second words</p></article>{side}</body>",
+        "<body>" + "".join(f"<div class='layer{'x' * 60}{'abcdefghijklmnopqrstuvwxyz'[i]}'>" for i in range(20)) + f"<div class='content'>{article}</div></body>",
+        f"<body><article>{article}<div class='comments'><article><p>a comment</p></article></div></article></body>",
+    ]
+    for pages_a_host in (1, 3):
+        rows = [(10 * i + n, f"http://h{i}.example/{n}", html.format(n=n)) for i, html in enumerate(shapes) for n in range(pages_a_host)]
+        out = template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert {r.page_id: r.text for r in out} == {i: want.format(n=i % 10) for i, _, _ in rows}
+
+
 def test_template_on_the_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in template.extract(pages).collect()}
