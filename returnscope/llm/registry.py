@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnscope.llm import decontaminate, hnsw, jaccard, language, mixing, quality, substring, template, tokens, warc
+from returnscope.llm import decontaminate, hnsw, jaccard, language, mixing, prefix_trie, quality, repair, substring, template, tokens, toxicity, warc
+from returnscope.llm.conversation_sql import OP11_SQL, OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by its cheapest edits."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_index": op1_warc_index,
@@ -80,6 +97,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_structure_repair": op11_structure_repair,
+        "op12_toxicity": op12_toxicity,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -140,4 +160,4 @@ FROM reach LEFT JOIN sizes ON sizes.doc_id = x GROUP BY x, n"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": OP1_SQL, "op9_substring_dedup": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op1_warc_index": OP1_SQL, "op9_substring_dedup": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_structure_repair": OP11_SQL, "op13_prefix_trie": OP13_SQL}
