@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -30,7 +30,8 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _comments(w: Warehouse) -> DataFrame:
-    return text.comments_in_range(w.comments_raw, P.comment_range)
+    """All comments with a text: the date range is row 28's alone, as the driver tables have no comment dates."""
+    return w.comments_raw.na.drop(subset=["comment"])
 
 
 def _segment_ab(w: Warehouse) -> DataFrame:
@@ -64,14 +65,20 @@ def _kmeans_checks(w: Warehouse):
     comments, feats, vocab, n = _clusters(w)
     weights = text.tfidf(comments, C.TFIDF_MAX_FEATURES, n_docs=n, keep_doc_key=True)
     checks = text.kmeans_checks(feats, materialize(weights, "kmeans-weights"), vocab, C.KMEANS_K_RANGE, C.KMEANS_SEED)
-    # the fit stops when no centre moves by its tolerance
-    return checks.select("k", "comments", "misplaced", (F.col("inertia_gap") < 1e-2).alias("inertia_agrees"))
+    below = F.lag("inertia").over(Window.orderBy("k"))  # one row per k
+    return checks.select(
+        "k",
+        "comments",
+        "misplaced",
+        (F.col("inertia_gap") < 1e-9).alias("inertia_agrees"),
+        F.coalesce(F.col("inertia") <= below, F.lit(True)).alias("inertia_falls"),
+    )
 
 
 def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lemmatised comments, their clusters given: the sources, numbered in order of name."""
     configure(spark)
-    comments = text.comments_in_range(driver.comments_by_source(spark, sf_dir), P.comment_range)
+    comments = driver.comments_by_source(spark, sf_dir).na.drop(subset=["comment"])
     comments = text.with_doc_key(materialize(comments, "comments-by-source"))
     numbers = materialize(dense_ids(comments, "source", "cluster"), "sources")
     return materialize(text.lemmatised(comments.join(numbers, "source")), "lemmas-by-source")
@@ -79,7 +86,14 @@ def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silhouette_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats, _ = text.tfidf_vectors(_by_source(spark, sf_dir), C.TFIDF_MAX_FEATURES, keep=("cluster",))
-    return text.silhouette(feats).withColumn("silhouette", F.round("silhouette", 8))
+    return text.silhouette_squared(feats).withColumn("silhouette", F.round("silhouette", 8))
+
+
+def _silhouette_euclidean_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = text.tfidf_vectors(_by_source(spark, sf_dir), C.TFIDF_MAX_FEATURES, keep=("cluster",))
+    # all comments are scored, whatever their number, as the statement does
+    out = text.silhouette(feats, exact_rows=1 << 62)
+    return out.withColumn("silhouette", F.round("silhouette", 8))
 
 
 def _top_terms_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +176,7 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "cart_dropoff": lambda w: analysis.cart_dropoff(w.events_labelled, w.dim_user, P.release),
     "rr_ztest": lambda w: analysis.rr_ztest(_segment_ab(w)).withColumn("p_value", F.round("p_value", 10)),
     # text (rows 28-35)
-    "load_comments": lambda w: _comments(w),
+    "load_comments": lambda w: text.comments_in_range(w.comments_raw, P.comment_range),
     "clean_text": lambda w: text.clean_text(_comments(w)),
     # weights and p-values are compared to 10 decimals: last bits depend on summation order
     "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES).withColumn("weight", F.round("weight", 10)),
@@ -189,6 +203,7 @@ RAW_ONLY = ("key_violations", "funnel_month_change")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _wl(f) for name, f in RUNNERS.items()}
 # rows 33-35 over a given grouping (the documents' source)
 QUERIES["silhouette_by_source"] = _silhouette_by_source
+QUERIES["silhouette_euclidean_by_source"] = _silhouette_euclidean_by_source
 QUERIES["cluster_top_terms_by_source"] = _top_terms_by_source
 QUERIES["cluster_examples_by_source"] = _examples_by_source
 
