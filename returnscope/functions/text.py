@@ -22,6 +22,23 @@ NOUN_RULES = (
     ("ies", "y"),
 )
 
+# Common irregular nouns of WordNet's noun exception list (plural, lemma).
+IRREGULAR_NOUNS = (
+    ("aircraft", "aircraft"), ("analyses", "analysis"), ("antennae", "antenna"), ("appendices", "appendix"),
+    ("axes", "axis"), ("bacteria", "bacterium"), ("bases", "basis"), ("brethren", "brother"), ("bureaux", "bureau"),
+    ("cacti", "cactus"), ("calves", "calf"), ("cherubim", "cherub"), ("children", "child"), ("crises", "crisis"),
+    ("criteria", "criterion"), ("curricula", "curriculum"), ("diagnoses", "diagnosis"), ("dice", "die"),
+    ("dwarves", "dwarf"), ("elves", "elf"), ("emphases", "emphasis"), ("errata", "erratum"), ("feet", "foot"),
+    ("formulae", "formula"), ("fungi", "fungus"), ("geese", "goose"), ("genera", "genus"), ("grandchildren", "grandchild"),
+    ("halves", "half"), ("hooves", "hoof"), ("hypotheses", "hypothesis"), ("indices", "index"), ("knives", "knife"),
+    ("larvae", "larva"), ("leaves", "leaf"), ("lice", "louse"), ("lives", "life"), ("loaves", "loaf"),
+    ("matrices", "matrix"), ("memoranda", "memorandum"), ("mice", "mouse"), ("nuclei", "nucleus"), ("oases", "oasis"),
+    ("oxen", "ox"), ("parentheses", "parenthesis"), ("phenomena", "phenomenon"), ("radii", "radius"),
+    ("scarves", "scarf"), ("selves", "self"), ("shelves", "shelf"), ("stimuli", "stimulus"), ("strata", "stratum"),
+    ("syllabi", "syllabus"), ("synopses", "synopsis"), ("teeth", "tooth"), ("theses", "thesis"), ("thieves", "thief"),
+    ("vertebrae", "vertebra"), ("vertices", "vertex"), ("wives", "wife"), ("wolves", "wolf"),
+)
+
 
 # Spark ML's default English stopword list
 # (StopWordsRemover.loadDefaultStopWords("english")), in its own order.

@@ -19,6 +19,7 @@ from ..operators.joins import dense_ids
 from ..session import configure, ensure_checkpoint_dir
 from ..sources import driver
 from ..sources.files import materialize
+from ..sources.tables import read_table
 from .layers import Warehouse
 
 P = C.DRIVER_PARAMS
@@ -107,6 +108,12 @@ def _examples_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.cluster_examples(_by_source(spark, sf_dir), C.EXAMPLES_PER_CLUSTER)
 
 
+def _clean_text_with_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row 29 with the words of the benchmark items as the lexicon."""
+    lexicon = materialize(text.lexicon_of(read_table(spark, sf_dir, "benchmark", ["text"]), "text"), "lexicon")
+    return text.clean_text(_comments(_wh(spark, sf_dir)), lexicon).select("comment_id", "clean_text")
+
+
 def _two_months(w: Warehouse) -> DataFrame:
     moved = Warehouse(w.users_raw, w.orders_raw, driver.over_two_months(w.events_raw), None, P)
     return analysis.funnel_month_change(moved.events_labelled, P.release, (P.release.replace(day=1) + dt.timedelta(days=31)))
@@ -201,6 +208,7 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
 RAW_ONLY = ("key_violations", "funnel_month_change")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _wl(f) for name, f in RUNNERS.items()}
+QUERIES["clean_text_with_lexicon"] = _clean_text_with_lexicon
 # rows 33-35 over a given grouping (the documents' source)
 QUERIES["silhouette_by_source"] = _silhouette_by_source
 QUERIES["silhouette_euclidean_by_source"] = _silhouette_euclidean_by_source
