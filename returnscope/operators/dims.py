@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
-from .joins import dense_ids
+from .joins import dense_ids, extend_ids
 
 
 def dim_user(users_clean: DataFrame) -> DataFrame:
@@ -25,13 +25,18 @@ def dim_date(users_clean: DataFrame, events_clean: DataFrame) -> DataFrame:
     return series.select(*calendar_columns("d"))
 
 
-def dim_order_status(orders_clean: DataFrame) -> DataFrame:
-    """Distinct order status with a surrogate id (ids follow the name order)."""
+def dim_order_status(orders_clean: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Distinct order status with a surrogate id (ids follow the name order); with the ``stored`` dimension of an
+    earlier build its ids stay and new statuses are numbered above them."""
+    if stored is not None:
+        return extend_ids(stored, orders_clean, "status", "status_id", "status_name")
     return dense_ids(orders_clean, "status", "status_id").select(
         "status_id", F.col("status").alias("status_name")
     )
 
 
-def dim_event_name(events_clean: DataFrame) -> DataFrame:
-    """Distinct event name with a surrogate id (ids follow the name order)."""
+def dim_event_name(events_clean: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Distinct event name with a surrogate id (ids follow the name order); ``stored`` as for ``dim_order_status``."""
+    if stored is not None:
+        return extend_ids(stored, events_clean, "event_name", "event_name_id", "event_name")
     return dense_ids(events_clean, "event_name", "event_name_id").select("event_name_id", "event_name")

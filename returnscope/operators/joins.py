@@ -1,4 +1,4 @@
-"""Distributed dense ids for lookup dimensions."""
+"""Distributed dense ids for lookup dimensions, and ids that later builds keep."""
 
 from __future__ import annotations
 
@@ -42,3 +42,18 @@ def dense_ids(values: DataFrame, order_col: str, id_col: str, num_partitions: in
     return ranged.join(F.broadcast(offsets), "_pid").select(
         (F.col("_off") + F.col("_idx") + 1).cast("int").alias(id_col), F.col(order_col)
     )
+
+
+def extend_ids(stored: DataFrame, values: DataFrame, value_col: str, id_col: str, name_col: str) -> DataFrame:
+    """The dimension ``stored`` (``id_col``, ``name_col``) with the values of ``value_col`` it lacks, numbered above its
+    largest id in value order: INSERT ... SELECT DISTINCT into a table with a serial key.
+
+    Stored rows keep their ids, also of values that no longer occur, so facts stored earlier stay right.  NULL is
+    one value.  With nothing stored the ids are ``dense_ids``.
+    """
+    fresh = values.select(F.col(value_col).alias(name_col)).distinct()
+    old = stored.select(F.col(name_col).alias("_old"))
+    fresh = fresh.join(old, F.col(name_col).eqNullSafe(F.col("_old")), "left_anti")
+    top = stored.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]
+    numbered = dense_ids(fresh, name_col, id_col).select((F.col(id_col) + F.lit(int(top))).cast("int").alias(id_col), name_col)
+    return stored.select(F.col(id_col).cast("int").alias(id_col), name_col).unionByName(numbered)

@@ -4,7 +4,7 @@
 plans to every analysis, so Catalyst sees one plan per query (no hops through
 Python).  The small lookup dimensions are written once, so that the planner
 knows their exact size; ``write_layers`` persists every layer as parquet
-(drop-and-create), which is how the layers are shared between jobs on a cluster.
+(a build that replaces the one before in one step), which is how the layers are shared between jobs on a cluster.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import dims, facts, marts, staging
-from ..sources import driver
+from ..sources import driver, versions
 from ..sources.files import materialize, write_table
 
 
@@ -51,11 +51,15 @@ class Warehouse:
     @classmethod
     def from_layers(cls, spark: SparkSession, root: str, params: C.Params = C.DRIVER_PARAMS) -> "Warehouse":
         """A warehouse whose staging, dimension and fact layers are the parquet
-        tables written by ``write_layers`` (scans get exact file statistics,
+        tables of the newest finished build of ``write_layers`` (scans get exact file statistics,
         so the tiny dimensions are broadcast by the planner's own size check)."""
+        base = versions.current(spark, root)
+        if base is None:
+            raise FileNotFoundError(f"no finished build under {root}")
 
         def read(name):
-            return spark.read.parquet(os.path.join(root, name))
+            reader = spark.read.schema(FACT_SCHEMAS[name]) if name in FACT_SCHEMAS else spark.read
+            return reader.parquet(os.path.join(base, name))
 
         try:
             comments = read("stg/comments")
@@ -136,8 +140,12 @@ class Warehouse:
         parallel: bool = True,
         comment_partitions: int | None = None,
     ) -> dict[str, str]:
-        """Persist every layer under ``root`` (drop-and-create), level by level:
-        staging, dimensions, facts (and the marts when asked).  After each write
+        """Persist every layer as a new build under ``root``, level by level:
+        staging, dimensions, facts (and the marts when asked).  The build becomes
+        current once all its tables are written (``sources.versions``); until then,
+        and if it fails, readers keep the build before.  Ids of the lookup
+        dimensions are those of the build before, new names are numbered above
+        them.  Returns the path of each table.  After each write
         the warehouse reads the written table, so a layer is built from the
         stored layers below it and the lineage is cut at every layer.  The
         tables of one level do not depend on each other and are written as
@@ -154,16 +162,18 @@ class Warehouse:
         ``comment_partitions`` deals the comments out to that many files, for
         comments that come as a single split."""
         spark = self._spark()
+        before, build = versions.current(spark, root), versions.begin(spark, root)
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         levels = [list(level) for level in LAYER_LEVELS]
         if self.comments_raw is not None:
             levels[0].append("comments_raw")
         names = dict(LAYER_TABLES, comments_raw="stg/comments")
-        out, columns = {}, {}
+        out, schemas = {}, {}
 
         def write(attr: str) -> tuple[str, str]:
             lookup = attr in LOOKUPS and attr not in self.__dict__  # numbered and written once, here
-            df = LOOKUPS[attr](self) if lookup else getattr(self, attr)
+            stored = spark.read.parquet(os.path.join(before, names[attr])) if lookup and before else None
+            df = LOOKUPS[attr](self, stored) if lookup else getattr(self, attr)
             by = []
             if attr == "comments_raw":
                 df = df.repartition(comment_partitions) if comment_partitions else df
@@ -177,8 +187,8 @@ class Warehouse:
                     .sortWithinPartitions(*keys)
                     .drop("_tie")
                 )
-            path = os.path.join(root, names[attr])
-            columns[attr] = df.columns
+            path = os.path.join(build, names[attr])
+            schemas[attr] = df.schema
             write_table(df, path, by)
             return attr, path
 
@@ -193,22 +203,24 @@ class Warehouse:
                 done = [write(attr) for attr in level]
             for attr, path in done:
                 out[names[attr]] = path
-                self.__dict__[attr] = spark.read.parquet(path).select(*columns[attr])
+                # by the schema: a table in folders per id that has no row has no file either
+                self.__dict__[attr] = spark.read.schema(schemas[attr]).parquet(path).select(*schemas[attr].names)
             for derived in ("orders_labelled", "events_labelled"):
                 self.__dict__.pop(derived, None)
         if with_marts:
             for name, df in self.layers(with_marts=True).items():
                 if name.startswith("marts/"):
-                    path = os.path.join(root, name)
+                    path = os.path.join(build, name)
                     write_table(df, path)
                     out[name] = path
+        versions.commit(spark, build)
         return out
 
 
 # Lookup dimensions, unwritten: write_layers stores them itself.
 LOOKUPS = {
-    "dim_order_status": lambda w: dims.dim_order_status(w.orders),
-    "dim_event_name": lambda w: dims.dim_event_name(w.events),
+    "dim_order_status": lambda w, stored: dims.dim_order_status(w.orders, stored),
+    "dim_event_name": lambda w, stored: dims.dim_event_name(w.events, stored),
 }
 
 # Fact tables when written clustered: folder column, then range / sort keys.
@@ -217,6 +229,12 @@ FACT_CLUSTERING = {
     "fact_events": ("event_name_id", "event_date", "user_id"),
 }
 
+# Schemas of the facts, which have no file (only folders) while they have no row.
+FACT_SCHEMAS = {
+    "fact/fact_orders": "order_id string, user_id int, order_date timestamp_ntz, amount decimal(8,2), status_id int",
+    "fact/fact_events": "user_id int, event_date timestamp_ntz, event_name_id int",
+}
+
 # Levels of the layer build: the tables of a level depend only on lower levels.
 LAYER_LEVELS = (
     ("users", "orders", "events"),
