@@ -19,6 +19,7 @@ from .. import config as C
 from ..functions.labels import channel_group, date_lit, day_range, flag, period, ts_lit
 from ..functions.stats import dbl, pct, two_proportion_ztest
 from .asof import asof_forward_min
+from .ranges import interval_join
 
 SEGMENT = ("device", "region", "channel")
 PERIODS = ("before", "after")
@@ -260,6 +261,48 @@ def _cohort_frame(spark, cohorts) -> DataFrame:
     return spark.createDataFrame(rows, "cohort string, start_date date, end_date date")
 
 
+def retention_by_cohort(
+    users: DataFrame,
+    labelled_events: DataFrame,
+    cohorts: DataFrame,
+    days: int = C.D7_WINDOW_DAYS,
+    steps=C.FUNNEL_STEPS,
+    mode: str = "within",
+) -> DataFrame:
+    """Row 23 for any number of cohorts, also overlapping ones: (cohort,
+    new_users_count, retained_users_count, d7_retention) of the cohorts
+    (cohort, start_date, end_date; NULL: open) with a user.
+
+    Whether a user is retained does not depend on the cohort, so it is found
+    once per user; users then meet their cohorts by buckets of days
+    (``ranges.interval_join``).  Events are first reduced to distinct (user,
+    day), which bounds a hot user to one row per day."""
+    u = users.select("user_id", F.col("reg_date").cast("date").alias("reg_date")).where("reg_date IS NOT NULL")
+    days_active = (
+        labelled_events.where(F.col("ev").isin(*steps))
+        .select(F.col("user_id").alias("_user"), F.to_date("event_date").alias("event_day"))
+        .distinct()
+    )
+    at, reg = F.col("event_day"), F.col("reg_date")
+    hit = (at == F.date_add(reg, days)) if mode == "exact_day" else (at >= reg) & (at < F.date_add(reg, days))
+    joined = u.join(days_active, (F.col("user_id") == F.col("_user")) & hit, "left")
+    per_user = joined.groupBy("user_id", "reg_date").agg(F.max(flag(at.isNotNull())).alias("retained"))
+    members = interval_join(per_user, cohorts.select("cohort", "start_date", "end_date"), "reg_date", "start_date", "end_date")
+    # distinct users of a cohort, like the retained ones
+    per_member = members.groupBy("cohort", "user_id").agg(F.max("retained").alias("retained"))
+    return (
+        per_member.groupBy("cohort")
+        .agg(
+            F.count("user_id").alias("new_users_count"),
+            F.sum(F.when(F.col("user_id").isNotNull(), F.col("retained")).otherwise(0)).alias("retained_users_count"),
+        )
+        .withColumn(
+            "d7_retention",
+            F.when(F.col("new_users_count") == 0, F.lit(0.0)).otherwise(pct("retained_users_count", "new_users_count")),
+        )
+    )
+
+
 def d7_retention_cohorts(
     users: DataFrame,
     labelled_events: DataFrame,
@@ -272,39 +315,8 @@ def d7_retention_cohorts(
     in [reg_date, reg_date + days), retention %; and the relative change of the
     first cohort against the second.  ``mode="exact_day"`` counts only events
     on the day reg_date + days (the wording of the original's description;
-    its code, the default, counts the whole window).
-
-    Events are first reduced to distinct (user, day), which bounds a hot user
-    to one row per day; the cohort relation is a parameter list (broadcast)."""
-    spark = users.sparkSession
-    c = F.broadcast(_cohort_frame(spark, cohorts))
-    u = users.select("user_id", F.col("reg_date").cast("date").alias("reg_date"))
-    cu = u.join(
-        c, (u.reg_date >= c.start_date) & (c.end_date.isNull() | (u.reg_date < c.end_date)), "inner"
-    ).select("cohort", "user_id", "reg_date")
-    days_active = (
-        labelled_events.where(F.col("ev").isin(*steps))
-        .select("user_id", F.to_date("event_date").alias("event_day"))
-        .distinct()
-    )
-    hit = cu.join(
-        days_active,
-        (cu.user_id == days_active.user_id)
-        & (
-            (days_active.event_day == F.date_add(cu.reg_date, days))
-            if mode == "exact_day"
-            else (days_active.event_day >= cu.reg_date) & (days_active.event_day < F.date_add(cu.reg_date, days))
-        ),
-        "left",
-    ).select(cu.cohort, cu.user_id, days_active.event_day.isNotNull().alias("hit"))
-    per_user = hit.groupBy("cohort", "user_id").agg(F.max(flag(F.col("hit"))).alias("retained"))
-    agg = per_user.groupBy("cohort").agg(
-        F.count("user_id").alias("new_users_count"),
-        F.sum(F.when(F.col("user_id").isNotNull(), F.col("retained")).otherwise(0)).alias("retained_users_count"),
-    ).withColumn(
-        "d7_retention",
-        F.when(F.col("new_users_count") == 0, F.lit(0.0)).otherwise(pct("retained_users_count", "new_users_count")),
-    )
+    its code, the default, counts the whole window)."""
+    agg = retention_by_cohort(users, labelled_events, _cohort_frame(users.sparkSession, cohorts), days, steps, mode)
     names = [name for name, _, _ in cohorts]
     cols = []
     for name in names:

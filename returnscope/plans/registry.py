@@ -19,7 +19,7 @@ from ..operators import analysis, dims, marts, quality, refresh, text
 from ..operators.joins import dense_ids
 from ..session import configure, ensure_checkpoint_dir
 from ..sources import driver
-from ..sources.files import materialize
+from ..sources.files import materialize, split_comments_csv
 from ..sources.tables import read_table
 from .layers import Warehouse
 
@@ -138,6 +138,36 @@ def _kpi_refreshed(w: Warehouse) -> DataFrame:
     return refresh.read_mart(spark, root)
 
 
+def _rolling_retention(w: Warehouse) -> DataFrame:
+    """Row 23 over overlapping cohorts: the 14 days from every registration day on, and all users from the release on."""
+    starts = w.users.where("reg_date IS NOT NULL").select(F.col("reg_date").cast("date").alias("start_date")).distinct()
+    rolling = starts.select(F.col("start_date").cast("string").alias("cohort"), "start_date", F.date_add("start_date", 14).alias("end_date"))
+    last = w.users.sparkSession.createDataFrame([("since release", P.release, None)], rolling.schema)
+    cohorts = materialize(rolling.unionByName(last), "cohorts")
+    return analysis.retention_by_cohort(w.users, w.events_labelled, cohorts, P.d7_window_days)
+
+
+def _comments_csv(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Row 28 from a CSV file with bad rows: the comments, of which every 50th gets an unreadable date."""
+    c = w.comments_raw.na.drop(subset=["comment"])
+    date = F.when(F.col("comment_id") % 50 == 7, F.lit("not a date")).otherwise(F.date_format("comment_date", "yyyy-MM-dd HH:mm:ss"))
+    path = f"{ensure_checkpoint_dir(c.sparkSession)}/tables/comments-csv-{uuid.uuid4().hex[:12]}"
+    out = c.select("comment_id", date.alias("comment_date"), "comment")
+    # quoted whole: texts keep their line breaks, quotes and edge blanks
+    out.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return split_comments_csv(c.sparkSession, path, multi_line=True)
+
+
+def _load_comments_csv(w: Warehouse) -> DataFrame:
+    good, _ = _comments_csv(w)
+    return text.comments_in_range(good, P.comment_range).select("comment_id", "comment_date", "comment")
+
+
+def _rejected_comments(w: Warehouse) -> DataFrame:
+    _, rejected = _comments_csv(w)
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _two_months(w: Warehouse) -> DataFrame:
     moved = Warehouse(w.users_raw, w.orders_raw, driver.over_two_months(w.events_raw), None, P)
     return analysis.funnel_month_change(moved.events_labelled, P.release, (P.release.replace(day=1) + dt.timedelta(days=31)))
@@ -197,6 +227,7 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "d7_retention_cohorts": lambda w: analysis.d7_retention_cohorts(
         w.users, w.events_labelled, P.d7_cohorts, P.d7_window_days
     ),
+    "d7_retention_rolling": _rolling_retention,
     "first_refunds": lambda w: analysis.first_refunds(
         w.orders_labelled, w.events_labelled, P.release, P.quick_refund_window_days
     ),
@@ -210,6 +241,8 @@ RUNNERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rr_ztest": lambda w: analysis.rr_ztest(_segment_ab(w)).withColumn("p_value", F.round("p_value", 10)),
     # text (rows 28-35)
     "load_comments": lambda w: text.comments_in_range(w.comments_raw, P.comment_range),
+    "load_comments_csv": _load_comments_csv,
+    "load_comments_rejected": _rejected_comments,
     "clean_text": lambda w: text.clean_text(_comments(w)),
     # weights and p-values are compared to 10 decimals: last bits depend on summation order
     "tfidf": lambda w: text.tfidf(_comments(w), C.TFIDF_MAX_FEATURES).withColumn("weight", F.round("weight", 10)),

@@ -354,3 +354,47 @@ def test_asof_of_a_hot_key_is_linear(spark):
     large, (found, total) = run(300_000)
     assert total == 300_000 and found > 99_000
     assert large < 10 * small + 15  # quadratic windows need minutes
+
+
+def test_interval_join_equals_all_pairs_without_a_nested_loop(spark):
+    import random
+
+    from returnscope.operators.ranges import interval_join
+
+    r = random.Random(8)
+    day = lambda lo, hi: dt.date(2025, 1, 1) + dt.timedelta(days=r.randint(lo, hi))
+    people = [(i, day(-400, 500)) for i in range(400)] + [(900, None), (901, day(0, 0)), (901, day(0, 0))]
+    spans = []
+    for i in range(1000):
+        lo = day(-100, 300)
+        spans.append((f"c{i}", lo, r.choice([None, lo, lo - dt.timedelta(days=3), lo + dt.timedelta(days=1), lo + dt.timedelta(days=r.randint(1, 200))])))
+    spans += [("null", None, day(0, 9)), ("c0", *spans[0][1:])]
+    users = spark.createDataFrame(people, "user_id int, reg_date date")
+    cohorts = spark.createDataFrame(spans, "cohort string, start_date date, end_date date")
+    want = sorted((u, c) for u, d in people for c, lo, hi in spans if d and lo and d >= lo and (hi is None or d < hi))
+    for width in (1, 16, 400):
+        got = interval_join(users, cohorts, "reg_date", "start_date", "end_date", width)
+        assert sorted((x.user_id, x.cohort) for x in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "HashJoin" in plan or "SortMergeJoin" in plan
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert interval_join(users, cohorts.limit(0), "reg_date", "start_date", "end_date").count() == 0
+
+
+def test_retention_of_overlapping_cohorts(spark):
+    from returnscope.operators.analysis import retention_by_cohort
+
+    start = dt.date(2025, 5, 1)
+    people = [(i, start + dt.timedelta(days=i % 60), "ios", "eu", "paid") for i in range(120)]
+    seen = [(f"e{i}", i, dt.datetime(2025, 5, 1) + dt.timedelta(days=i % 60 + i % 11, hours=3), "refund") for i in range(0, 120, 2)]
+    w = warehouse(spark, people, events=seen)
+    spans = [(f"c{i}", start + dt.timedelta(days=i), None if i % 9 == 0 else start + dt.timedelta(days=i + 1 + i % 30)) for i in range(50)]
+    cohorts = spark.createDataFrame(spans, "cohort string, start_date date, end_date date")
+    back = {u for _, u, t, _ in seen if 0 <= (t.date() - people[u][1]).days < 7}
+    want = []
+    for c, lo, hi in spans:
+        mine = [u for u, d, *_ in people if d >= lo and (hi is None or d < hi)]
+        want.append((c, len(mine), sum(u in back for u in mine), round(100 * sum(u in back for u in mine) / len(mine), 2)))
+    df = retention_by_cohort(w.users, w.events_labelled, cohorts)
+    assert rows(df, "cohort", "new_users_count", "retained_users_count", "d7_retention") == sorted(want)
+    assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()

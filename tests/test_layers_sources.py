@@ -103,3 +103,45 @@ def test_scale_conf_sizes_partitions_from_input():
     mid = scale_conf(1 << 40)  # 1 TB / 256 MB
     assert mid["spark.sql.shuffle.partitions"] == "4096"
     assert mid["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_bad_csv_rows_are_set_aside(spark, tmp_path):
+    import json
+
+    import pytest
+
+    path, rejects = tmp_path / "comments.csv", str(tmp_path / "rejected")
+    path.write_text(
+        " Comment_ID ,comment_date,comment\n"
+        '1,2025-06-15 10:00:00,"fine, quoted"\n'
+        "2,15/06/2025 10h,bad date\n"
+        "3,2025-06-16\n"
+        "4,2025-06-17 00:00:00,one,two,three\n"
+        "five,2025-06-17 00:00:00,bad id\n"
+        '6,2025-06-18 00:00:00,"a quoted\nbreak, ""twice"""\n'
+        ",,\n"
+        "8,2025-02-30 00:00:00,no such day\n"
+        "9,2025-06-19,a day\n"
+    )
+    df = read_comments_csv(spark, str(path), multi_line=True, rejects_path=rejects)
+    assert rows(df, "comment_id", "comment_date", "comment") == [
+        (1, dt.datetime(2025, 6, 15, 10), "fine, quoted"),
+        (6, dt.datetime(2025, 6, 18), 'a quoted\nbreak, "twice"'),
+        (9, dt.datetime(2025, 6, 19), "a day"),
+        (None, None, None),
+    ]
+    assert df.count() == 4 and df.select("comment_id").distinct().count() == 4  # whatever is selected
+    aside = rows(spark.read.json(rejects), "reason", "record")
+    assert [r for r, _ in aside] == ["date", "date", "id", "row", "row"]
+    assert {json.loads(x)["comment"] for r, x in aside if r != "row"} == {"bad date", "no such day", "bad id"}
+    assert [x for r, x in aside if r == "row"] == ["3,2025-06-16", "4,2025-06-17 00:00:00,one,two,three"]
+    with pytest.raises(ValueError, match=r"5 rows .*'date': 2"):
+        read_comments_csv(spark, str(path), multi_line=True, max_rejected=4)
+    assert read_comments_csv(spark, str(path), multi_line=True, max_rejected=5).count() == 4
+
+
+def test_csv_dates_of_a_stated_format(spark, tmp_path):
+    path = tmp_path / "comments.csv"
+    path.write_text("comment_date,comment\n15/06/2025,good\n2025-06-15,other format\n")
+    df = read_comments_csv(spark, str(path), timestamp_format="dd/MM/yyyy")
+    assert rows(df, "comment_date", "comment") == [(dt.datetime(2025, 6, 15), "good")]
