@@ -179,8 +179,8 @@ def fit(
     for i in learned:
         held[np.unique(texts[i][0])] += 1
     used = np.flatnonzero(held >= least)
-    new = np.full(1 << bits, -1, np.int64)
-    new[used] = np.arange(len(used))
+    new = np.full(1 << bits, -1, np.int32)
+    new[used] = np.arange(len(used), dtype=np.int32)
     # all windows of the learned texts: label, first n-gram, n-grams
     rows = new[np.concatenate([texts[i][0] for i in learned])]
     sizes = np.concatenate([texts[i][1] for i in learned]).astype(np.int64)
@@ -199,13 +199,12 @@ def fit(
         p[at] -= rate * (s[0][at] / (1 - 0.9**step)) / (np.sqrt(s[1][at] / (1 - 0.999**step)) + 1e-8)
 
     doc = np.repeat(np.arange(len(learned)), [(texts[i][1] > 0).sum() for i in learned])
-    of = np.repeat(np.arange(len(sizes)), sizes)
     for epoch in range(epochs):
         order = r.permutation(len(label))
         if epoch:
             number = np.zeros(len(used) + 1, np.float32)
             number[:-1] = embedding @ (softmax[:, 1] - softmax[:, 0])
-            order = order[np.isin(order, top_windows(np.bincount(of, number[rows], len(sizes)) / sizes, doc, per))]
+            order = order[np.isin(order, top_windows(np.add.reduceat(number[rows], begin) / sizes, doc, per))]
         for a in range(0, len(order), batch):
             some = order[a : a + batch]
             m, length = len(some), sizes[some]
@@ -268,10 +267,13 @@ def learn(
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic IN (0, 1)")
     marks = marks.filter(~held_out()).groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     marks = written(marks, "toxic-marks")
-    row = marks.agg(F.avg("toxic")).first()
+    sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}  # two rows at most
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     mine = Window.partitionBy("toxic")
-    some = marks.withColumn("_rank", F.row_number().over(mine.orderBy(*by_hash))).filter(F.col("_rank") <= class_rows).drop("_rank")
+    # the hashes up to which about twice the wanted rows lie, so that few rows meet in the window
+    near = {c: min((1 << 63) - 1, (2 * class_rows << 64) // n - (1 << 63)) for c, n in sizes.items()}
+    some = marks.filter(F.xxhash64("doc_id") <= F.when(F.col("toxic") == 1, near.get(1, 0)).otherwise(near.get(0, 0)))
+    some = some.withColumn("_rank", F.row_number().over(mine.orderBy(*by_hash))).filter(F.col("_rank") <= class_rows).drop("_rank")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.filter(F.length("text") <= max_chars).join(F.broadcast(some), "doc_id")  # at most 2 * class_rows rows of 12 bytes
     order = mine.orderBy(*by_hash, F.xxhash64("text"))
@@ -288,7 +290,7 @@ def learn(
     got = sample.mapInArrow(run, "doc_id long, toxic int, row array<int>, n array<int>").toArrow()
     order = np.lexsort((np.array([len(x) for x in got["row"]], np.int64), got["doc_id"].to_numpy()))
     texts = [tuple(got[c][int(i)].values.to_numpy().astype(np.int32) for c in ("row", "n")) for i in order]
-    return fit(texts, got["toxic"].to_numpy()[order].astype(np.int64), bits, words, row[0])
+    return fit(texts, got["toxic"].to_numpy()[order].astype(np.int64), bits, words, sizes.get(1, 0) / max(1, sum(sizes.values())))
 
 
 def score_toxicity(docs: DataFrame, model: Subwords, threshold: float = 0.7) -> DataFrame:
