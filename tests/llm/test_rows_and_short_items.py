@@ -1,0 +1,70 @@
+"""Benchmark items without a window of their own, and pipeline stages that decide row by row."""
+
+import random
+
+import corpus_pipeline
+from returnscope.llm import decontaminate
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+ITEMS = [
+    (1, "What is the capital of France?"),
+    (2, "法国的首都是哪里？"),
+    (3, "12 34 56 78 90 11 22 33 44 55"),
+    (4, "Anna Berta Clara Dora Emma Frida Greta"),
+    (5, "Every morning the old miller walks along the river to count his ducks"),
+    (6, ""),
+    (7, None),
+]
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, None, "s", None if t is None else len(t)) for i, t in rows], SCHEMA)
+
+
+def found(spark, rows, items=ITEMS, **settings):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_of(spark, rows), benchmark, **settings).collect()}
+
+
+def test_every_item_is_compared(spark):
+    rows = [(100 + i, f"some text before, {t} and after 3 more words") for i, t in ITEMS if t]
+    rows += [
+        (201, "We ask: What is the capital of Spain? Nobody knows."),  # another name
+        (202, "what was the capital of France"),  # another word
+        (203, "12 34 56 78 90 11 22 33 44 56"),  # another number: this item has no literal word
+        (204, "Anna Berta Clara Dora Emma Frida Paula"),
+        (205, "法国的首都是什么"),
+        (206, "the capital"),
+        (207, "but every morning the old miller walks along the river to count his ducks"),
+        (208, None),
+        (209, "capital of France What is the"),
+    ]
+    want = {(100 + i, i) for i, t in ITEMS if t} | {(201, 1), (207, 5)}
+    assert found(spark, rows) == want
+    assert found(spark, rows, broadcast_rows=0) == want
+
+
+def test_whole_items_against_brute_force(spark):
+    r = random.Random(4)
+    vocabulary = ["ab", "cd", "ef", "gh", "ij"]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(1, 6)))) for i in range(25)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(0, 30)))) for i in range(60)]
+    want = {(d, i) for d, t in rows for i, x in items if f" {x} " in f" {t} "}
+    assert found(spark, rows, items) == want
+
+
+def test_stages_decide_by_row(spark):
+    """One doc_id holds a third of the rows, with different texts; some have none."""
+    r = random.Random(9)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    unique = [text() for _ in range(60)]
+    copied = unique[0]
+    rows = [(1, copied), *((7, t) for t in unique[1:21]), (7, copied), (7, copied), *((100 + i, t) for i, t in enumerate(unique[21:50]))]
+    rows += [(None, t) for t in unique[50:]] + [(None, copied), (3, ""), (3, ""), (4, None)]
+    docs = docs_of(spark, rows)
+    kept = sorted(((x.doc_id, x.text) for x in corpus_pipeline.jaccard_join(spark, docs, "").collect()), key=repr)
+    assert kept == sorted([(i, t) for i, t in rows if t != copied] + [(1, copied)], key=repr)
+    benchmark = spark.createDataFrame([(1, unique[5])], "item_id long, text string")
+    left = decontaminate.without_contaminated(docs, benchmark)
+    assert left.columns == docs.columns
+    assert sorted((repr((x.doc_id, x.text)) for x in left.collect())) == sorted(repr(x) for x in rows if x[1] != unique[5])
