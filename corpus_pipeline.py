@@ -6,15 +6,18 @@ reads again as the next one's docs.  All stages but the last return the
 columns of docs.
 
 1. ``quality_classifier`` drops documents whose score is below 0.7.
-2. ``jaccard_join`` keeps the smallest doc_id of each component of documents
-   that share 80 % of their five-word shingles or more, and one of several equal rows.
+2. ``jaccard_join`` keeps the row of the smallest doc_id of each component of texts
+   that share 80 % of their five-word shingles or more.
 3. ``substring_dedup`` removes the words of repeated 20-word windows from the
    texts; n_chars becomes the length of what is left.
 4. ``decontamination`` drops documents that hold a benchmark item.
 5. ``source_mixing`` adds n_tokens, domains and the rate that brings the
    label domains to equal token totals.
 
-Rows without doc_id pass stages 2 and 4 unchanged; null texts stay null.
+Stages 2 and 4 decide row by row, by a key of their own: rows that share a doc_id
+with a copy or a contaminated text, or have none, are judged by their own text.
+In stage 2 rows without doc_id come after all others of their component; texts
+without a word are linked with nothing and stay.  Null texts stay null.
 """
 
 from __future__ import annotations
@@ -39,10 +42,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.jaccard_components(docs, k=5, percent=80)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.rand(3)]  # equal rows spread by the last
+    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    keyed = common.written(ranged.withColumn("_row_key", F.monotonically_increasing_id()), "keyed")  # in order of doc_id
+    found = jaccard.jaccard_components(keyed.select(F.col("_row_key").alias("doc_id"), "text"), k=5, percent=80)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    return keyed.join(gone, keyed["_row_key"] == gone["_gone"], "left_anti").drop("_row_key")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
