@@ -24,7 +24,7 @@ counts as a literal and as a name, as a text may quote it either way.
 
 Defined results: null or empty texts and items match nothing; rows repeating a
 doc_id or item_id count as one in ``contaminated``, while ``without_contaminated``
-decides row by row and keeps rows without doc_id as it does others; extra columns are ignored.
+decides row by row; rows without doc_id pass it unchanged; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -178,8 +178,9 @@ def _whole(docs: DataFrame, short: DataFrame, min_literal: int, broadcast_rows:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, all columns, that no benchmark item contaminates, each row decided by its own text."""
+    """The rows of ``docs``, all columns, that no benchmark item contaminates, each row decided by its own text;
+    rows without doc_id stay."""
     keyed = written(docs.withColumn("_row_key", F.monotonically_increasing_id()), "keyed")
-    bad = contaminated(keyed.select(F.col("_row_key").alias("doc_id"), "text"), benchmark, **settings)
+    bad = contaminated(keyed.filter("doc_id IS NOT NULL").select(F.col("_row_key").alias("doc_id"), "text"), benchmark, **settings)
     bad = bad.select(F.col("doc_id").alias("_bad_key")).distinct()
     return keyed.join(bad, keyed["_row_key"] == bad["_bad_key"], "left_anti").drop("_row_key")

@@ -63,8 +63,8 @@ def test_stages_decide_by_row(spark):
     rows += [(None, t) for t in unique[50:]] + [(None, copied), (3, ""), (3, ""), (4, None)]
     docs = docs_of(spark, rows)
     kept = sorted(((x.doc_id, x.text) for x in corpus_pipeline.jaccard_join(spark, docs, "").collect()), key=repr)
-    assert kept == sorted([(i, t) for i, t in rows if t != copied] + [(1, copied)], key=repr)
-    benchmark = spark.createDataFrame([(1, unique[5])], "item_id long, text string")
+    assert kept == sorted([(i, t) for i, t in rows if t != copied or i is None] + [(1, copied)], key=repr)
+    benchmark = spark.createDataFrame([(1, unique[5]), (2, unique[55])], "item_id long, text string")
     left = decontaminate.without_contaminated(docs, benchmark)
     assert left.columns == docs.columns
     assert sorted((repr((x.doc_id, x.text)) for x in left.collect())) == sorted(repr(x) for x in rows if x[1] != unique[5])
