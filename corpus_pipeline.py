@@ -15,9 +15,9 @@ columns of docs.
    label domains to equal token totals.
 
 Stages 2 and 4 decide row by row, by a key of their own: rows that share a doc_id
-with a copy or a contaminated text, or have none, are judged by their own text.
-In stage 2 rows without doc_id come after all others of their component; texts
-without a word are linked with nothing and stay.  Null texts stay null.
+with a copy or a contaminated text are judged by their own text, and rows without
+doc_id pass both unchanged.  Texts without a word are linked with nothing and
+stay.  Null texts stay null.
 """
 
 from __future__ import annotations
@@ -42,10 +42,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.rand(3)]  # equal rows spread by the last
+    order = [F.col("doc_id"), F.xxhash64("text"), F.rand(3)]  # equal rows spread by the last
     ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     keyed = common.written(ranged.withColumn("_row_key", F.monotonically_increasing_id()), "keyed")  # in order of doc_id
-    found = jaccard.jaccard_components(keyed.select(F.col("_row_key").alias("doc_id"), "text"), k=5, percent=80)
+    found = jaccard.jaccard_components(keyed.filter("doc_id IS NOT NULL").select(F.col("_row_key").alias("doc_id"), "text"), k=5, percent=80)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
     return keyed.join(gone, keyed["_row_key"] == gone["_gone"], "left_anti").drop("_row_key")
 
