@@ -42,8 +42,9 @@ UNITS = (
     "percent dollar dollars euro euros cent cents usd eur mph kmh hz khz mhz ghz kb mb gb tb w kw v degrees"
 ).split()
 NAME = "\x01"  # marks a name until the words are typed
-# Scripts written without spaces between words.
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+# Blocks of scripts written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han), as ranges:
+# script classes cost several times as much for each character.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 _TYPES = {"number": 1, "unit": 2, "name": 3}
 
 
@@ -109,7 +110,9 @@ def contaminated(
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words")).filter("doc_id IS NOT NULL")
     text = text.withColumn("codes", canonical("words"))
-    text = text.select("doc_id", "words", F.posexplode_outer(_windows("codes", k)).alias("at", "window"))
+    # one expression over the codes behind each word: compiled, unlike a slice and a hash in a lambda
+    text = text.select("doc_id", "words", "codes", F.posexplode_outer("codes").alias("at", "_code")).filter(F.col("at") <= F.size("codes") - k)
+    text = text.select("doc_id", "words", "at", F.xxhash64(*(F.get("codes", F.col("at") + i) for i in range(k))).alias("window"))
     window_words = F.expr(f"slice(words, at + 1, {k})").alias("doc_words")
     if keys.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 20 bytes a row
         hits = text.join(F.broadcast(keys), "window").select("doc_id", "at", "item_id", "variant", "item_at", window_words)
