@@ -7,15 +7,12 @@ driver from a path that is a parameter, and reaches the tasks as arrays.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 
 from returnscope.llm import words as W
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 1
-CUT = sys.maxsize  # bytes of a word that are segmented together: words are never cut
 _SLOTS = 1 << 20
 
 
@@ -76,15 +73,6 @@ class Prefixes:
         return W.mix((self.total[end][rows] - self.total[start][rows]) * self.down[start] + size)
 
 
-def cut_long(starts: np.ndarray, ends: np.ndarray, cut: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs cut every ``cut`` bytes, and each part's run."""
-    parts = np.maximum(1, -(-(ends - starts) // cut))
-    run = np.repeat(np.arange(len(starts)), parts)
-    nth = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
-    s = starts[run] + nth * cut
-    return s, np.minimum(s + cut, ends[run]), run
-
-
 def as_matrix(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pre-tokens as rows, start mark first, zero behind; and their lengths with the mark."""
     length = ends - starts

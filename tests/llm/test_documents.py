@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from returnscope.llm import decontaminate, jaccard, language, mixing, pieces, quality, substring, tokens, words
 from returnscope.llm.graph import components
@@ -229,6 +230,79 @@ def test_forward_sums_all_segmentations():
         assert np.exp(got[:, j]) == pytest.approx([brute_forward(b"\x01" + t, table) for t in text])
 
 
+def long_tokens():
+    r = random.Random(3)
+    made = ["".join(r.choice("abcdeéß的是中国人") for _ in range(r.randint(1, 300))) for _ in range(40)]
+    made += ["的是中国人民在一个有" * 30, "https" * 40, "donaudampfschifffahrtsgesellschaftskapitän" * 3, "a", "\u0416" * 200]
+    text = [x.encode() for x in made]
+    ends = np.cumsum([len(t) for t in text])
+    return np.frombuffer(b"".join(text), np.uint8), ends - [len(t) for t in text], ends, text
+
+
+@pytest.mark.parametrize("rows, cells", [(2000, 1 << 18), (7, 500), (1, 1)])
+def test_long_pre_tokens_are_summed_whole(rows, cells):
+    buf, starts, ends, text = long_tokens()
+    some = [b"\x01", b"a", b"ab", "的".encode(), "的是".encode(), "中国人民".encode(), b"http", b"https", b"schiff", b"dampfschiff", b"\x01a", "\u0416\u0416".encode()]
+    logp = np.log(np.random.default_rng(0).dirichlet(np.ones(len(some)), 3).T)
+    got = language.Stream(buf, starts, ends, pieces.Vocabulary(some)).total(logp, rows, cells)
+    for j in range(3):
+        table = dict(zip(some, logp[:, j], strict=True))
+        for x, t in zip(got[:, j], text, strict=True):
+            word, p = b"\x01" + t, [0.0]
+            for e in range(1, len(word) + 1):
+                ways = [p[e - 1] + language.FLOOR] + [p[s] + table[word[s:e]] for s in range(max(0, e - 20), e) if word[s:e] in table]
+                p.append(float(np.logaddexp.reduce(ways)))
+            assert x == pytest.approx(p[-1])
+
+
+def test_expected_counts_of_long_and_short_pre_tokens_agree():
+    buf, starts, ends, text = long_tokens()
+    vocabulary = pieces.Vocabulary(pieces.read_pieces())
+    logp = np.log(np.random.default_rng(1).dirichlet(np.ones(vocabulary.size)))
+    weight = np.arange(1.0, len(text) + 1)
+    want = language.Lattice(*pieces.as_matrix(buf, starts, ends), vocabulary).expected(logp, weight)
+    for cells in (1 << 21, 3000, 1):
+        assert np.allclose(language.Stream(buf, starts, ends, vocabulary).expected(logp, weight, cells), want)
+
+
+def test_one_round_of_fitting_equals_all_segmentations():
+    some, counts = [b"\x01", b"\x01a", b"a", b"b", b"ab", b"ba", b"aba"], {b"aba": 3, b"ab": 2, b"bbaab": 1, b"ab" * 40: 1}
+
+    def ways(word, table):
+        """log of the sum over segmentations and the expected count of each piece, by trying each first part."""
+        known = {len(word): (0.0, {})}
+        for i in range(len(word) - 1, -1, -1):
+            parts = [(language.FLOOR, None, 1)] + [(table[q], q, len(q)) for q in some if word.startswith(q, i)]
+            value = [x + known[i + n][0] for x, _, n in parts]
+            total = float(np.logaddexp.reduce(value))
+            seen = collections.Counter()
+            for v, (_, q, n) in zip(value, parts, strict=True):
+                for a, c in [*known[i + n][1].items(), *([(q, 1.0)] if q else [])]:
+                    seen[a] += c * np.exp(v - total)
+            known[i] = total, seen
+        return known[0]
+
+    table = dict.fromkeys(some, -np.log(len(some)))
+    for _ in range(2):
+        seen = {q: language.SMOOTHING for q in some}
+        for t, n in counts.items():
+            for q, c in ways(b"\x01" + t, table)[1].items():
+                seen[q] += n * c
+        table = {q: np.log(x / sum(seen.values())) for q, x in seen.items()}
+    assert language.fit({"x": counts}, some, rounds=2)[:, 0] == pytest.approx([table[q] for q in some])
+
+
+def test_language_of_scripts_without_spaces(spark):
+    zh, ja = "我们在这里学习中文和历史，今天的天气很好。", "私たちはここで日本語と歴史を学びます。今日は天気がいい。"
+    rows = [(i, (zh if i % 2 else ja) * (1 + i % 7), "zh" if i % 2 else "ja", "s", 1) for i in range(60)]
+    rows += [(100, zh * 700, None, "s", 1), (101, ja * 700, None, "s", 1), (102, zh * 2000, "zh", "s", 1)]  # 102: beyond sample_chars, not learned from
+    docs = spark.createDataFrame(rows, SCHEMA)
+    clashing = docs.select("*", *(F.lit("x").alias(c) for c in ("held_out", "spoken", "place", "n", "token", "score")))
+    for frame in (docs, clashing):
+        got = {r.doc_id: r.lang_pred for r in language.predict(frame, *language.learn(frame)).collect()}
+        assert (got[100], got[101], got[102]) == ("zh", "ja", "zh") and all(got[i] == ("zh" if i % 2 else "ja") for i in range(60))
+
+
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.predict(docs, *language.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -265,7 +339,7 @@ def test_token_counts_equal_brute_force(spark, corpus):
     want = {}
     for i, x in corpus:
         w = (x or "").encode().split()
-        want[i] = (len(w), sum(best(a[j : j + pieces.CUT]) for a in w for j in range(0, len(a), pieces.CUT)))
+        want[i] = (len(w), sum(map(best, w)))
     assert {r.doc_id: (r.n_words, r.n_tokens) for r in tokens.count_tokens(make_docs(spark, corpus)).collect()} == want
 
 
