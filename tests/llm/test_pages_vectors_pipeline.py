@@ -127,6 +127,30 @@ def test_hnsw_recall_and_exact_scores(spark):
     assert hnsw.nearest(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("factor", [1.0, 1e4, 1e150])
+def test_hnsw_recall_of_a_full_shard_with_skewed_norms(factor):
+    r = np.random.default_rng(0)
+    vectors = r.normal(size=(4096, 64))
+    vectors[[5, 900, 3000]] *= factor
+    score = vectors[:100] @ vectors.T
+    found = [[] for _ in range(100)]
+    band = hnsw.bands(vectors)
+    for b in np.unique(band):
+        mine = np.flatnonzero(band == b)
+        for near, places in zip(found, hnsw.search(vectors[:100], vectors[mine], *hnsw.build(vectors[mine]), 96), strict=True):
+            near += mine[places[places >= 0]].tolist()
+    hits = sum(len(set(sorted(f, key=lambda j: -s[j])[:20]) & set(np.argsort(-s)[:20].tolist())) for f, s in zip(found, score, strict=True))
+    assert hits >= 0.94 * 2000
+
+
+def test_bands_of_equal_and_extreme_norms():
+    r = np.random.default_rng(2)
+    unit = r.normal(size=(500, 8))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    assert set(hnsw.bands(unit).tolist()) == {0}
+    assert hnsw.bands(np.array([[1e300, 1e300], [1e-300, 0.0], [4.0, 0.0]])).tolist() == [1994, -1993, 4]
+
+
 @pytest.fixture(scope="module")
 def pipeline_rows(spark):
     return {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
