@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as a WARC record, read back and merged into one capture index."""
-    index = warc.archive_pages(table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    index = warc.placed(warc.archive_pages(table(spark, sf_dir, "pages")))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "place")
 
 
 def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,14 +105,31 @@ def queries() -> dict[str, Query]:
 
 WORD_SPLIT = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+#: Keys of http and https URLs in ASCII, with a host; place is the rank in the order of all capture histories.
 OP1_SQL = """
 WITH p AS (
-    SELECT page_id, COALESCE(html, '') AS html, octet_length(encode(COALESCE(html, ''))) AS size FROM pages
+    SELECT page_id, COALESCE(html, '') AS html, octet_length(encode(COALESCE(html, ''))) AS size,
+           lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) AS scheme,
+           lower(regexp_extract(url, '^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+           regexp_extract(url, '^[^/?#]*//[^/?#]*:([0-9]+)(?:[/?#]|$)', 1) AS port,
+           regexp_extract(url, '^[^/?#]*//[^/?#]*([^?#]*)', 1) AS path,
+           regexp_extract(url, '^[^?#]*(\\?[^#]+)', 1) AS query,
+           TIMESTAMP '2024-01-01' + to_seconds((COALESCE(page_id, 0) % 1000000000 + 1000000000) % 1000000000) AS captured, url
+    FROM pages
 ),
-f AS (SELECT *, CASE WHEN size >= 100 THEN MIN(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+f AS (
+    SELECT *, CASE WHEN size >= 100 THEN MIN(page_id) OVER (PARTITION BY html) ELSE page_id END AS first,
+           CASE WHEN COALESCE(url, '') = '' THEN 'urn:page:' || page_id
+                ELSE array_to_string(list_reverse(string_split(host, '.')), ',')
+                     || CASE WHEN port IN ('', CASE scheme WHEN 'http' THEN '80' WHEN 'https' THEN '443' END) THEN '' ELSE ':' || port END
+                     || ')' || CASE WHEN path = '' THEN '/' ELSE lower(path) END || lower(query) END AS url_key,
+           strftime(captured, '%Y%m%d%H%M%S') AS timestamp
+    FROM p
+)
 SELECT page_id, size AS payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to
+       CASE WHEN page_id <> first THEN first END AS refers_to, url_key, timestamp,
+       row_number() OVER (ORDER BY url_key, timestamp, page_id NULLS FIRST) AS place
 FROM f"""
 
 OP9_SQL = f"""

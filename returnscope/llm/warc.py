@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from returnscope.llm.common import slices, small_batches, written
 
@@ -280,3 +281,15 @@ def split_points(pages: DataFrame, range_records: int = 20_000, sample: int = 10
 def archive_pages(pages: DataFrame, range_records: int = 20_000, **settings) -> DataFrame:
     """Writes the pages as WARC archives, reads them back and returns their capture index."""
     return capture_index(write_archives(pages, **settings), split_points(pages, range_records))
+
+
+def placed(index: DataFrame) -> DataFrame:
+    """The capture index with ``place``, each record's number (from 1) in the global order of all histories.
+
+    The index is written once; a range's first place is the count of the ranges before it, one row a range.
+    """
+    index = written(index, "index")
+    sizes = index.groupBy("range").agg(F.max("position").cast("long").alias("_last"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("range", F.coalesce(F.sum(F.col("_last") + 1).over(earlier), F.lit(0)).alias("_before"))
+    return index.join(sizes, "range").withColumn("place", F.col("_before") + F.col("position") + 1).drop("_before")

@@ -29,6 +29,9 @@ def test_warc_round_trip(spark):
     assert {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got} == want and len(got) == len(rows)
     keys = [(r.url_key, r.timestamp, r.page_id) for r in sorted(got, key=lambda r: (r.range, r.position))]
     assert keys == sorted(keys) and len({r.range for r in got}) > 3
+    places = sorted((r.place, (r.url_key, r.timestamp, r.page_id)) for r in warc.placed(warc.archive_pages(both, range_records=10, archive_bytes=20_000)).collect())
+    assert places == list(enumerate(sorted(keys), 1))  # the global order, across ranges
+    assert warc.placed(warc.archive_pages(pages.limit(0))).count() == 0
     repeated = warc.archive_pages(spark.createDataFrame([(1, "u", "z" * 200), (1, "u", "z" * 200), (None, "u", "z" * 200)], pages.schema)).collect()
     assert [r.record_type for r in repeated] == ["response"] * 3
     assert warc.archive_pages(pages.limit(0)).count() == 0
