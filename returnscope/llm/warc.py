@@ -10,10 +10,11 @@ written table.
 Reading.  Every archive is parsed member by member and gives one capture run:
 its records sorted by URL key, capture time and page_id.
 
-Index merge.  Split points from a bounded sample of the keys cut every run in
-slices; each range of keys merges its slices with a loser tree, so ranges in
-order are the capture histories of all URLs in order.  The split points are
-whole keys, so one URL with very many captures spreads over many ranges.
+Index merge.  Spark's range sampler (a fixed sample, at most a million keys)
+cuts the key space; every run is dealt to the ranges by (URL key, capture time,
+page_id, run, offset), and each range merges its parts of the runs with a loser
+tree, so ranges in order are the capture histories of all URLs in order.  One
+URL with very many captures, or rows that tie in all keys, spread over many ranges.
 
 Defined results: a null html is an empty payload; a null page_id is always a
 response; rows that repeat a page_id are records of their own; a null url is
@@ -23,7 +24,6 @@ archived as ``urn:page:<page_id>``.  The capture time, which pages lack, is
 
 from __future__ import annotations
 
-import bisect
 import gzip
 import hashlib
 import math
@@ -31,6 +31,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from datetime import UTC, datetime, timedelta
+from itertools import islice
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
@@ -238,49 +239,42 @@ def write_archives(pages: DataFrame, least: int = 100, archive_bytes: int = 8 <<
     return written(typed.mapInArrow(run, "run string, data binary"), "archives")
 
 
-def capture_index(archives: DataFrame, splits: list[tuple[str, str, int]]) -> DataFrame:
+def _table(entries: list[dict], **more: pa.Array) -> pa.RecordBatch:
+    columns = {f.name: pa.array([e[f.name] for e in entries], f.type) for f in ENTRY}
+    columns["run"] = pa.array([e["run"] for e in entries], pa.string())
+    return pa.RecordBatch.from_pydict(columns | more)
+
+
+def capture_index(archives: DataFrame, ranges: int, rows: int = 2_000) -> DataFrame:
     """The records of all archives: range and position give the global order of the histories."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("run").to_pylist(), batch.column("data"), strict=True):
-                entries = capture_run(data.as_py())
-                keys = [entry_key(e) for e in entries]
-                at = [0, *(bisect.bisect_left(keys, s) for s in splits), len(entries)]
-                some = [i for i in range(len(at) - 1) if at[i + 1] > at[i]]
-                parts = pa.array([entries[at[i] : at[i + 1]] for i in some], pa.list_(ENTRY))
-                yield pa.record_batch([pa.array([name] * len(some), pa.string()), pa.array(some, pa.int32()), parts], names=["run", "range", "entries"])
-
-    def merge(key, table):
-        runs = [[e | {"run": r} for e in part] for r, part in sorted(zip(table["run"].to_pylist(), table["entries"].to_pylist(), strict=True), key=lambda x: x[0])]
-        merged = list(LoserTree(runs, entry_key))
-        names = [f.name for f in ENTRY]
-        columns = {f.name: pa.array([e[f.name] for e in merged], f.type) for f in ENTRY}
-        columns["run"] = pa.array([e["run"] for e in merged], pa.string())
-        columns["range"] = pa.array([key[0].as_py()] * len(merged), pa.int32())
-        columns["position"] = pa.array(range(len(merged)), pa.int32())
-        return pa.table({c: columns[c] for c in [*names, "run", "range", "position"]})
-
-    slices_ = archives.mapInArrow(cut, f"run string, range int, entries array<{ENTRY_DDL}>")
-    schema = ENTRY_DDL.removeprefix("struct<").removesuffix(">").replace(":", " ") + ", run string, range int, position int"
-    return slices_.groupBy("range").applyInArrow(merge, schema)
-
-
-def split_points(pages: DataFrame, range_records: int = 20_000, sample: int = 10_000) -> list[tuple[str, str, int]]:
-    """Keys that cut the captures in ranges of about ``range_records``, from ``sample`` keys."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-    ranges = math.ceil(rows.count() / range_records)
-    if ranges < 2:
-        return []
-    drawn = rows.orderBy(F.xxhash64("page_id", "url"), "page_id").limit(max(sample, 20 * ranges)).collect()
-    named = [{"url_key": url_key(quote(u, safe="/:?#[]@!$&'()*+,;=%-._~") if u else f"urn:page:{p}"), "timestamp": f"{capture_time(p):%Y%m%d%H%M%S}", "page_id": p} for p, u in drawn]
-    keys = sorted(map(entry_key, named))
-    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)})
+                entries = [e | {"run": name} for e in capture_run(data.as_py())]
+                for i in range(0, len(entries), rows):
+                    yield _table(entries[i : i + rows])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, runs = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            for entry in batch.to_pylist():
+                runs.setdefault(entry["run"], []).append(entry)
+        # parts of a run may arrive in any order; sorting joined sorted parts is a merge
+        merged = iter(LoserTree([sorted(run, key=lambda e: (*entry_key(e), e["offset"])) for _, run in sorted(runs.items())], entry_key))
+        at = 0
+        while part := list(islice(merged, rows)):
+            yield _table(part, range=pa.array([number] * len(part), pa.int32()), position=pa.array(range(at, at + len(part)), pa.int32()))
+            at += len(part)
+
+    schema = ENTRY_DDL.removeprefix("struct<").removesuffix(">").replace(":", " ") + ", run string"
+    entries = archives.mapInArrow(read, schema)
+    return entries.repartitionByRange(ranges, "url_key", "timestamp", "page_id", "run", "offset").mapInArrow(merge, schema + ", range int, position int")
 
 
 def archive_pages(pages: DataFrame, range_records: int = 20_000, **settings) -> DataFrame:
-    """Writes the pages as WARC archives, reads them back and returns their capture index."""
-    return capture_index(write_archives(pages, **settings), split_points(pages, range_records))
+    """Writes the pages as WARC archives, reads them back and returns their capture index in ranges of about ``range_records``."""
+    return capture_index(write_archives(pages, **settings), max(1, math.ceil(pages.count() / range_records)))
 
 
 def placed(index: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from returnscope.llm import hnsw, template, warc
@@ -32,6 +33,10 @@ def test_warc_round_trip(spark):
     places = sorted((r.place, (r.url_key, r.timestamp, r.page_id)) for r in warc.placed(warc.archive_pages(both, range_records=10, archive_bytes=20_000)).collect())
     assert places == list(enumerate(sorted(keys), 1))  # the global order, across ranges
     assert warc.placed(warc.archive_pages(pages.limit(0))).count() == 0
+    ties = spark.createDataFrame([(None, None, "")] * 400 + [(7, "http://a.b/", "q")] * 100, pages.schema).withColumn("range", F.lit(1))
+    tied = warc.placed(warc.archive_pages(ties, range_records=50)).collect()  # rows that tie spread over ranges
+    assert sorted(r.place for r in tied) == list(range(1, 501)) and len({r.range for r in tied}) > 4
+    assert {r.url_key for r in tied if r.place <= 100} == {"b,a)/"}
     repeated = warc.archive_pages(spark.createDataFrame([(1, "u", "z" * 200), (1, "u", "z" * 200), (None, "u", "z" * 200)], pages.schema)).collect()
     assert [r.record_type for r in repeated] == ["response"] * 3
     assert warc.archive_pages(pages.limit(0)).count() == 0
