@@ -51,6 +51,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables made by ``written`` that nothing will read any more."""
     for df in tables:

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.llm.common import written
+from returnscope.llm.common import free_name, written
 
 #: Words that are units when they follow a number.
 UNITS = (
@@ -183,7 +183,7 @@ def _whole(docs: DataFrame, short: DataFrame, min_literal: int, broadcast_rows:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark item contaminates, each row decided by its own text;
     rows without doc_id stay."""
-    keyed = written(docs.withColumn("_row_key", F.monotonically_increasing_id()), "keyed")
-    bad = contaminated(keyed.filter("doc_id IS NOT NULL").select(F.col("_row_key").alias("doc_id"), "text"), benchmark, **settings)
-    bad = bad.select(F.col("doc_id").alias("_bad_key")).distinct()
-    return keyed.join(bad, keyed["_row_key"] == bad["_bad_key"], "left_anti").drop("_row_key")
+    key = free_name(docs, "_row_key")
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    bad = contaminated(keyed.filter("doc_id IS NOT NULL").select(F.col(key).alias("doc_id"), "text"), benchmark, **settings)
+    return keyed.join(bad.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)

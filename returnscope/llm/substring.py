@@ -293,13 +293,15 @@ def dedup_substrings(
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document (see the module).
 
-    ``keep`` names columns to carry along; with_text adds the text without the
+    ``keep`` names columns to carry along, whatever their names (one that the result has
+    itself comes out as ``<name>_kept``); with_text adds the text without the
     removed words and the white space behind them (unchanged where nothing was
     removed).  ``block_bytes`` bounds the text of a block (one document at
     least) and ``shard_windows`` the windows of a sketch shard on average.
     """
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    dealt, total = blocks(docs.select(*columns, *(c for c in keep if c not in ("doc_id", "text"))), block_bytes)
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("doc_id", "text"))
+    dealt, total = blocks(docs.select(*columns, *(F.col(c).alias(f"_kept{i}") for i, c in enumerate(keep))), block_bytes)
     expected = max(1, total // 5)  # windows: a word and its space take five bytes or more as a rule
     shards = max(1, math.ceil(expected / shard_windows))
     width = 1 << max(10, (4 * expected // shards - 1).bit_length())
@@ -337,4 +339,6 @@ def dedup_substrings(
     sketched = by_block.applyInArrow(parts, MESSAGE).groupBy("shard").applyInArrow(merged, MESSAGE)
     asked = by_block.cogroup(sketched.groupBy("block")).applyInArrow(candidates, MESSAGE)
     first = asked.groupBy("shard").applyInArrow(_first_blocks, MESSAGE)
-    return by_block.cogroup(sketched.unionByName(first).groupBy("block")).applyInArrow(result, schema)
+    out = by_block.cogroup(sketched.unionByName(first).groupBy("block")).applyInArrow(result, schema)
+    own = [c for c in out.columns if not c.startswith("_kept")]
+    return out.select(*own, *(F.col(f"_kept{i}").alias(f"{c}_kept" if c in own else c) for i, c in enumerate(keep)))
