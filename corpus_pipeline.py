@@ -44,10 +44,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order = [F.col("doc_id"), F.xxhash64("text"), F.rand(3)]  # equal rows spread by the last
     ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    keyed = common.written(ranged.withColumn("_row_key", F.monotonically_increasing_id()), "keyed")  # in order of doc_id
-    found = jaccard.jaccard_components(keyed.filter("doc_id IS NOT NULL").select(F.col("_row_key").alias("doc_id"), "text"), k=5, percent=80)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return keyed.join(gone, keyed["_row_key"] == gone["_gone"], "left_anti").drop("_row_key")
+    key = common.free_name(docs, "_row_key")
+    keyed = common.written(ranged.withColumn(key, F.monotonically_increasing_id()), "keyed")  # in order of doc_id
+    found = jaccard.jaccard_components(keyed.filter("doc_id IS NOT NULL").select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return keyed.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
